@@ -124,6 +124,7 @@ class PlaceIndex:
         body, _, last = text.rpartition(" ")
         return [text, body] if body and last in UNIT_WORDS else [text]
 
+    @lru_cache(maxsize=100_000)  # noqa: B019
     def _country(self, text: str | None) -> str | None:
         typed = fold(text)
         if not typed:
@@ -133,10 +134,15 @@ class PlaceIndex:
         found = self.countries.search(typed, min(2, allowed(len(typed))))
         return min(found, key=lambda c: (found[c], c)) if found else None
 
+    @lru_cache(maxsize=100_000)  # noqa: B019
     def _units(self, text: str | None) -> dict[str, int] | None:
         typed = fold(text)
         return self.units.search(typed, min(2, allowed(len(typed)))) if typed else None
 
+    @lru_cache(maxsize=100_000)  # noqa: B019
+    def _named(self, typed: str) -> dict[int, int]:
+        return self.names.search(typed, allowed(len(typed)))
+
     def candidates(self, country: str | None, unit: str | None, name: str | None) -> list[tuple[float, int]]:
         """(penalty, place_id), the best first. The penalty is the edits, less for agreeing and more for disagreeing fields."""
         code = self._country(country)
@@ -150,7 +156,7 @@ class PlaceIndex:
             if swapped and not units:
                 continue
             most = allowed(len(typed))
-            for place, edits in self.names.search(typed, most).items():
+            for place, edits in self._named(typed).items():
                 _, e_code, _, e_unit, _ = self.entries[place]
                 agrees = units is not None and e_unit in units
                 if swapped and not agrees:
