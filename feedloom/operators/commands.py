@@ -54,31 +54,31 @@ def prepared(rows: DataFrame, order: str) -> DataFrame:
     return known.select(order, *[c.alias(n) for n, c in own.items()])
 
 
-def _call(verb: str, kind: str, values: Mapping[str, Column]) -> Column:
-    args = []
-    for a in CALLS[verb, kind]:
-        name = a.rstrip("*")
-        value = values[name].cast("string")
-        shown = F.concat(F.lit(name + "="), value) if a.endswith("*") else F.concat(F.lit(name + '="'), value, F.lit('"'))
-        # an optional text that holds nothing, or only the marker of an empty value, is left out
-        args.append(F.when(value.isin("", '""') & F.lit(name in OPTIONAL), F.lit(None)).otherwise(shown))
-    if kind == "schedule":
-        entries = F.transform(values["redirect"], lambda r: F.concat(F.lit('{"id": "'), r["id"], F.lit('", "comment": " "}')))
-        args.append(F.concat(F.lit("redirects=["), F.array_join(entries, ", "), F.lit("]")))
+def _call(verb: str, kind: str, shown: Mapping[str, Column]) -> Column:
+    args = [shown[a] for a in CALLS[verb, kind]] + ([shown["redirects"]] if kind == "schedule" else [])
     return F.concat(F.lit(f"{verb}_gtfs_{kind}_source("), F.concat_ws(", ", *args), F.lit(")"))
 
 
 def call_text(df: DataFrame, order: str) -> DataFrame:
-    """(order, command): one call for each row with a known kind; unknown issues count as new feeds."""
+    """(order, command): one call for each row with a known kind; unknown issues count as new feeds, removals are updates under a
+    name that says so."""
     values = {c: F.col(c) for c in df.columns} | {"entity_type": F.concat(F.lit('["'), F.col("kind"), F.lit('"]'))}
-    removed = values | {"name": F.lit(REMOVAL_NAME)}
-    schedule = F.col("kind") == "Schedule"
-    live = ~F.col("kind").isin("Schedule", tx.UNKNOWN_TYPE)
-    out = F.lit(None).cast("string")
-    for is_kind, kind in ((live, "realtime"), (schedule, "schedule")):
-        call = F.when(F.col("issue") == "Feed update", _call("update", kind, values)).when(F.col("issue") == "removed", _call("update", kind, removed)).otherwise(_call("add", kind, values))
-        out = F.when(is_kind, call).otherwise(out)
-    return df.select(order, tx.typographic(out).alias("command")).filter("command IS NOT NULL")
+    values["name"] = F.when(F.col("issue") == "removed", F.lit(REMOVAL_NAME)).otherwise(F.col("name"))
+    shown = {}
+    for a in sorted({a for args in CALLS.values() for a in args}):
+        name, value = a.rstrip("*"), values[a.rstrip("*")].cast("string")
+        text = F.concat(F.lit(name + "="), value) if a.endswith("*") else F.concat(F.lit(name + '="'), value, F.lit('"'))
+        # an optional text that holds nothing, or only the marker of an empty value, is left out
+        shown[a] = F.when(~value.isin("", '""'), text) if name in OPTIONAL else text
+    entries = F.transform("redirect", lambda r: F.concat(F.lit('{"id": "'), r["id"], F.lit('", "comment": " "}')))
+    shown["redirects"] = F.concat(F.lit("redirects=["), F.array_join(entries, ", "), F.lit("]"))
+    # the arguments are columns of their own, so that the calls only join them
+    args = df.select(order, "issue", "kind", *[c.alias(f"__{a}") for a, c in shown.items()])
+    shown = {a: F.col(f"`__{a}`") for a in shown}
+    updates = F.col("issue").isin("Feed update", "removed")
+    out = F.when(F.col("kind") == "Schedule", F.when(updates, _call("update", "schedule", shown)).otherwise(_call("add", "schedule", shown)))
+    out = out.when(F.col("kind") != tx.UNKNOWN_TYPE, F.when(updates, _call("update", "realtime", shown)).otherwise(_call("add", "realtime", shown)))
+    return args.select(order, tx.typographic(out).alias("command")).filter("command IS NOT NULL")
 
 
 def script(calls: DataFrame, order: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,3 +52,20 @@ def small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if its estimated size is within ``limit``; otherwise ``df`` itself, so that the
     planner shuffles."""
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable by the session's Python workers, once a context.
+
+    The driver packs it and serves it to the executors itself, so that nothing need be installed there.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_feedloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    packed = Path(tempfile.mkdtemp(prefix="feedloom-")) / "feedloom.zip"
+    with zipfile.ZipFile(packed, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(packed))
+    sc._feedloom_shipped = True
