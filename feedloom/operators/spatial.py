@@ -14,10 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import small
+from ..session import BROADCAST_LIMIT_BYTES, cut
 
 EARTH_RADIUS_KM = 6371.0088
 #: Points of a cell from which it is divided; also the rows of a block.
@@ -27,7 +27,7 @@ CHUNK_ROWS = 120_000
 #: Edges of the cells of each level, in units of the distance; each is a multiple of the next.
 EDGES = (512, 64, 8, 2)
 #: The column part is the level times this, plus the pair of blocks.
-LEVEL = 100_000_000
+LEVEL = 1 << 40
 #: Points of a leaf of the tree within a task.
 TREE_LEAF = 8
 #: Pairs of a batch of the result.
@@ -94,22 +94,15 @@ def near_pairs(df: DataFrame, row_id: str, lat: Column, lon: Column, group: Colu
     for level in range(len(EDGES)):
         keyed = points.withColumn("cell", F.explode(_cells(level, reach)))
         if hot is not None:
-            keyed = keyed.join(small(hot), _parent(level, reach, F.col("cell")) == F.col("hot_cell"), "left_semi")
-        crowded = keyed.groupBy("cell").count().filter(F.col("count") > leaf_rows)
-        # at most 2 * rows / leaf_rows cells
-        found = crowded.select("cell", (F.floor((F.col("count") - 1) / leaf_rows) + 1).cast("int")).collect()
+            keyed = keyed.join(hot, _parent(level, reach, F.col("cell")) == F.col("hot_cell"), "left_semi")
+        # at most 2 * rows / leaf_rows cells; counted before the shuffle
+        hot, found = _counted(keyed.groupBy(F.col("cell").alias("hot_cell")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > leaf_rows))
+        calm = keyed.join(hot, F.col("cell") == F.col("hot_cell"), "left_anti") if found else keyed
+        leaves.append(calm.select("*", F.lit(level * LEVEL).cast("bigint").alias("part"), F.lit(0).cast("bigint").alias("block")))
         if not found:
-            leaves.append(keyed.select("*", F.lit(level * LEVEL).alias("part"), F.lit(0).alias("block")))
             break
-        hot = df.sparkSession.createDataFrame([tuple(r) for r in found], "hot_cell bigint, blocks int")
-        is_hot = F.col("cell") == F.col("hot_cell")
-        leaves.append(keyed.join(small(hot), is_hot, "left_anti").select("*", F.lit(level * LEVEL).alias("part"), F.lit(0).alias("block")))
-        if level == len(EDGES) - 1:
-            dense = keyed.join(small(hot), is_hot).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks").cast("bigint")).cast("int"))
-            pair = F.least("other", "block") * F.col("blocks") + F.greatest("other", "block") + len(EDGES) * LEVEL
-            dense = dense.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            # a block with itself is marked by -1
-            leaves.append(dense.select(*points.columns, "cell", pair.cast("int").alias("part"), F.when(F.col("other") == F.col("block"), -1).otherwise(F.col("block")).alias("block")))
+    else:
+        leaves.append(_blocks(keyed, hot, leaf_rows).select(*points.columns, "cell", "part", "block"))
     table = leaves[0]
     for more in leaves[1:]:
         table = table.unionByName(more)
@@ -124,6 +117,38 @@ def near_pairs(df: DataFrame, row_id: str, lat: Column, lon: Column, group: Colu
     return table.repartition("cell", "part").sortWithinPartitions("cell", "part").mapInArrow(join, "a bigint, b bigint")
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` cut, to be broadcast if its rows are few enough for that, and how many they are."""
+    df = cut(df)
+    n = df.count()
+    return (F.broadcast(df) if n * 100 <= BROADCAST_LIMIT_BYTES else df), n
+
+
+def _blocks(keyed: DataFrame, hot: DataFrame, leaf_rows: int) -> DataFrame:
+    """The rows of the smallest cells that are still crowded, in blocks, once for each pair of blocks: ``part`` is the pair and
+    ``block`` the own block, -1 where the pair is a block with itself.
+
+    A group with many rows in a cell gets blocks of its own, which needn't meet each other.
+    """
+    up = lambda c: F.ceil(c / leaf_rows)
+    dense = keyed.join(hot, F.col("cell") == F.col("hot_cell"))
+    heavy = dense.groupBy(F.col("cell").alias("h_cell"), F.col("grp").alias("h_grp")).agg(F.count(F.lit(1)).alias("h_n")).filter(F.col("h_n") > leaf_rows).withColumn("h_blocks", up(F.col("h_n")))
+    before = Window.partitionBy("h_cell").orderBy("h_grp").rowsBetween(Window.unboundedPreceding, -1)
+    heavy, _ = _counted(heavy.withColumn("h_from", F.coalesce(F.sum("h_blocks").over(before), F.lit(0))))
+    sums = heavy.groupBy(F.col("h_cell").alias("s_cell")).agg(F.sum("h_n").alias("s_n"), F.sum("h_blocks").alias("s_blocks"))
+    cells = hot.join(sums, F.col("hot_cell") == F.col("s_cell"), "left")
+    mixed = F.greatest(up(F.col("n") - F.coalesce("s_n", F.lit(0))), F.lit(1))
+    cells, _ = _counted(cells.select(F.col("hot_cell").alias("c_cell"), mixed.alias("mixed"), (mixed + F.coalesce("s_blocks", F.lit(0))).alias("total")))
+    rows = keyed.join(cells, F.col("cell") == F.col("c_cell")).join(heavy, (F.col("cell") == F.col("h_cell")) & (F.col("grp") == F.col("h_grp")), "left")
+    own = F.col("h_blocks").isNotNull()
+    first = F.col("mixed") + F.col("h_from")
+    block = F.when(own, first + F.pmod(F.xxhash64("id"), F.col("h_blocks"))).otherwise(F.pmod(F.xxhash64("id"), F.col("mixed")))
+    rows = rows.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("total") - 1)))
+    rows = rows.filter(~F.coalesce(own & F.col("other").between(first, first + F.col("h_blocks") - 1), F.lit(False)))
+    pair = F.least("other", "own") * F.col("total") + F.greatest("other", "own") + len(EDGES) * LEVEL
+    return rows.withColumn("part", pair).withColumn("block", F.when(F.col("other") == F.col("own"), -1).otherwise(F.col("own")).cast("bigint"))
+
+
 def whole_cells(batches: Iterator[pa.RecordBatch], rows: int = CHUNK_ROWS) -> Iterator[pa.Table]:
     """The sorted batches in chunks that end between cells."""
     held: list[pa.RecordBatch] = []
@@ -159,24 +184,25 @@ def join_chunk(chunk: pa.Table, edges: list[float], limit: float, above: int) ->
     cell, part, block = chunk["cell"].to_numpy(), chunk["part"].to_numpy(), chunk["block"].to_numpy()
     grp = chunk["grp"].combine_chunks().dictionary_encode()
     grp = (grp.combine_chunks() if isinstance(grp, pa.ChunkedArray) else grp).indices.to_numpy(zero_copy_only=False)
-    _, key = np.unique(np.stack([cell, part.astype(np.int64)], axis=1), axis=0, return_inverse=True)
+    _, key = np.unique(np.stack([cell, part], axis=1), axis=0, return_inverse=True)
     key = key.reshape(-1)
     level = np.minimum(part // LEVEL, len(edges) - 1)
     edge = np.asarray(edges)[level]
     # order: cell by cell, within it along a curve through its 1024 parts of each axis
     frac = (xyz + 1) / edge[:, None]
     curve = sum(_spread_bits(np.clip((f - np.floor(f)) * 1024, 0, 1023)) << k for k, f in enumerate(frac.T))
-    order = np.lexsort((curve, key))
+    order = np.lexsort((grp, curve, key))
     ids, xyz, key, grp, block, part, edge = (v[order] for v in (ids, xyz, key, grp, block, part, edge))
     home = np.floor((xyz + 1) / edge[:, None]).astype(np.int64)
     n = len(ids)
     depth = max(0, math.ceil(math.log2(max(1, n / TREE_LEAF))))
     leaves = 1 << depth
     bounds = np.linspace(0, n, leaves + 1).astype(np.int64)
-    dims = np.concatenate([xyz, key[:, None].astype(float)], axis=1)
+    # the group is bounded too: two nodes of one and the same group hold no pair
+    dims = np.concatenate([xyz, key[:, None].astype(float), grp[:, None].astype(float)], axis=1)
     filled = bounds[:-1] < bounds[1:]
-    low = [np.full((leaves, 4), np.inf)]
-    high = [np.full((leaves, 4), -np.inf)]
+    low = [np.full((leaves, 5), np.inf)]
+    high = [np.full((leaves, 5), -np.inf)]
     if n:
         low[0][filled] = np.minimum.reduceat(dims, bounds[:-1][filled])
         high[0][filled] = np.maximum.reduceat(dims, bounds[:-1][filled])
@@ -204,7 +230,8 @@ def join_chunk(chunk: pa.Table, edges: list[float], limit: float, above: int) ->
     for up in range(depth, -1, -1):
         la, ha, lb, hb = low[up][a], high[up][a], low[up][b], high[up][b]
         gap = np.maximum(0, np.maximum(la - hb, lb - ha))
-        possible = (gap[:, 3] == 0) & (np.einsum("ij,ij->i", gap[:, :3], gap[:, :3]) <= limit)
+        alike = (la[:, 4] == ha[:, 4]) & (lb[:, 4] == hb[:, 4]) & (la[:, 4] == lb[:, 4])
+        possible = (gap[:, 3] == 0) & ~alike & (np.einsum("ij,ij->i", gap[:, :3], gap[:, :3]) <= limit)
         a, b, la, ha, lb, hb = (v[possible] for v in (a, b, la, ha, lb, hb))
         far = np.maximum(ha, hb) - np.minimum(la, lb)
         certain = (far[:, 3] == 0) & (np.einsum("ij,ij->i", far[:, :3], far[:, :3]) <= limit * (1 - 1e-9)) & (a != b)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest estimated size in bytes of a side that may carry a broadcast hint.
-BROADCAST_LIMIT_BYTES = 32 << 20
+BROADCAST_LIMIT_BYTES = 8 << 20
 
 
 def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:

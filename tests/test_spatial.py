@@ -64,3 +64,15 @@ def test_boxes(spark):
     lat, lon = s.box_centre(*corners)
     got = [tuple(r) for r in df.filter(s.usable_box(*corners)).select(lat, lon).collect()]
     assert got == [(2.0, -180.0), (2.0, -171.0), (1.5, 6.0)]
+
+
+def test_one_group_crowds_a_spot(spark):
+    points = [(10.0, 20.0, "hot")] * 90 + [(10.0 + i * 1e-6, 20.0, "hot") for i in range(60)] + [(10.0, 20.0, "b"), (10.0003, 20.0, "c"), (10.1, 20.0, "d")]
+    expected = brute(points, 0.1)
+    for leaf in (s.LEAF_ROWS, 40, 25):
+        assert pairs(spark, points, 0.1, leaf) == expected
+
+
+def test_two_groups_crowd_a_spot(spark):
+    points = [(-5.0 + i * 1e-6, 7.0, "pq"[i % 2]) for i in range(100)] + [(-5.0, 7.0, "r")] * 5
+    assert pairs(spark, points, 0.1, 20) == brute(points, 0.1)
