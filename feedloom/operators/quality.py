@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import number_or_null, sure
 from ..functions.shapes import relative_difference
+from .ordered import row_numbers
 
 
 def bounding_boxes(stops: DataFrame, by: Sequence[str], lat: Column, lon: Column) -> DataFrame:
@@ -116,9 +117,12 @@ def verdicts_long(wide: DataFrame, key: str, n_rules: int) -> DataFrame:
 
 def packed_columns(passed: DataFrame, key: str, rule: str, rules: Sequence[str]) -> DataFrame:
     """(n, one column for each rule): the keys that passed each rule, from the top in order, the rest null; a rule without any is
-    all null."""
-    w = Window.partitionBy(rule).orderBy(key)
-    return passed.withColumn("n", F.row_number().over(w)).groupBy("n").pivot(rule, list(rules)).agg(F.first(key))
+    all null. Rows are numbered part by part, not rule by rule, so a rule that nearly all pass is no single task."""
+    numbered = row_numbers(passed.select(rule, key), [rule, key], "row_no")
+    # one row a rule
+    first = numbered.groupBy(rule).agg(F.min("row_no").alias("__first"))
+    placed = numbered.join(F.broadcast(first), rule).withColumn("n", (F.col("row_no") - F.col("__first") + 1).cast("int"))
+    return placed.groupBy("n").pivot(rule, list(rules)).agg(F.first(key))
 
 
 def filled_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
