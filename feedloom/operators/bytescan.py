@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 QUOTE, APOSTROPHE, BACKSLASH, COMMA = 34, 39, 92, 44
 
@@ -67,3 +70,18 @@ def next_where(mask: np.ndarray) -> np.ndarray:
 def last_where(mask: np.ndarray) -> np.ndarray:
     """For each position the last position before it where ``mask`` holds, else -1; one entry more."""
     return np.concatenate(([-1], np.maximum.accumulate(np.where(mask, np.arange(len(mask)), -1)))) if len(mask) else np.full(1, -1, np.int64)
+
+
+def pieces(batch: pa.RecordBatch, columns: list[int], most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts hold at most so many bytes together (more only for a single longer row), since the
+    index arrays take many bytes for each byte of text."""
+    if not batch.num_rows:
+        return
+    sizes = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most_bytes, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop

@@ -14,7 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bytescan import COMMA, QUOTE, Texts, strings_from
+from .bytescan import COMMA, QUOTE, Texts, pieces, strings_from
+
+#: Bytes of text scanned at once.
+PIECE_BYTES = 4 << 20
 
 
 def split_csv(array: pa.Array | pa.ChunkedArray, delimiter: int = COMMA) -> tuple[pa.ListArray, np.ndarray]:
@@ -61,8 +64,9 @@ def parse_lines(df: DataFrame, line: str = "line", fields: str = "fields", sound
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, ok = split_csv(batch.column(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, values, pa.array(ok)], names=[*batch.schema.names, fields, sound])
+            for part in pieces(batch, [at], PIECE_BYTES):
+                values, ok = split_csv(part.column(at))
+                yield pa.RecordBatch.from_arrays([*part.columns, values, pa.array(ok)], names=[*batch.schema.names, fields, sound])
 
     return df.mapInArrow(scan, schema)
 

@@ -16,7 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .bytescan import BACKSLASH, QUOTE, Texts, last_where, next_where
+from .bytescan import BACKSLASH, QUOTE, Texts, last_where, next_where, pieces
+
+#: Bytes of text indexed at once.
+PIECE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -263,7 +266,7 @@ def flatten_records(df: DataFrame, key: str, payload: str, kinds: Kinds = CATALO
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _pieces(batch):
+            for part in pieces(batch, [1], PIECE_BYTES):
                 got = extract_nodes(part.column(1), kinds)
                 pairs = [list(dict(zip(k, x, strict=True)).items()) for k, x in zip(got["keys"], got["values"], strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -274,12 +277,6 @@ def flatten_records(df: DataFrame, key: str, payload: str, kinds: Kinds = CATALO
     return narrow.mapInArrow(scan, schema)
 
 
-def _pieces(batch: pa.RecordBatch, rows: int = 2000) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces, so that the index arrays (some 100 bytes a byte of text) stay small."""
-    for i in range(0, batch.num_rows, rows):
-        yield batch.slice(i, rows)
-
-
 def flat_table(nodes: DataFrame, key: str, kind: str, columns: dict[str, str]) -> DataFrame:
     """One kind's table: key, parent_path, node_path and the named fields, cast (null where the text doesn't cast)."""
     from pyspark.sql import functions as F

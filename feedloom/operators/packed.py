@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bytescan import APOSTROPHE, QUOTE, Texts, strings_from
+from .bytescan import APOSTROPHE, QUOTE, Texts, pieces, strings_from
 
 #: Bytes that separate values outside quotes: pipe, semicolon, comma, slash, plus, ampersand and white space.
 SEPARATORS = b"|;,/+& \t\n\r\x0b\x0c"
 #: The unquoted word that separates values too.
 SEPARATOR_WORD = b"and"
+#: Bytes of text scanned at once.
+PIECE_BYTES = 4 << 20
 WHITE = b" \t\n\r\x0b\x0c"
 
 
@@ -121,9 +123,10 @@ def unpack(df: DataFrame, key: str, fields: dict[str, Column], separators: bytes
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(i) for i in range(n_keys)]
-            columns += [split_packed(batch.column(n_keys + i), separators, word) for i in range(batch.num_columns - n_keys)]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            for part in pieces(batch, list(range(n_keys, batch.num_columns)), PIECE_BYTES):
+                columns = [part.column(i) for i in range(n_keys)]
+                columns += [split_packed(part.column(n_keys + i), separators, word) for i in range(part.num_columns - n_keys)]
+                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     lists = wide.mapInArrow(scan, schema)
     pairs = F.array(*[F.struct(F.lit(name).alias("field"), F.col(f"__{i}").alias("items")) for i, name in enumerate(fields)])

@@ -67,3 +67,12 @@ def test_whole_column_against_a_pattern(spark, data):
         if len(items) >= 2:
             expected |= {(r["src_row"], "features", n, i) for n, i in enumerate(items, 1)}
     assert {tuple(r) for r in unpack(df, "src_row", {"features": F.col("features")}).collect()} == expected
+
+
+def test_pieces_cover_every_row_once():
+    from feedloom.operators.bytescan import pieces
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["a" * 5, None, "b" * 50, "", "c", "d" * 9])], names=["k", "t"])
+    parts = list(pieces(batch, [1], 10))
+    assert [p.num_rows for p in parts] == [2, 1, 3] and sum((p.column(0).to_pylist() for p in parts), []) == list(range(6))
+    assert list(pieces(batch.slice(0, 0), [1], 10)) == []
