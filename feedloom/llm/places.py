@@ -24,8 +24,8 @@ LEADING_WORDS = {"north": ("n", "no", "nth"), "south": ("s", "so", "sth"), "east
 GENERIC_WORDS = ("town of", "city of", "municipality of", "village of", "borough of", "commune of", "county of", "greater", "the")
 #: The last words that units of the second level may lack.
 UNIT_WORDS = ("district", "county", "state", "province", "region", "department", "prefecture", "canton", "oblast", "territory")
-#: Entries of a reference block; larger lists are searched block by block.
-BLOCK_ENTRIES = 100_000
+#: Entries of a reference block (a trie of some 200 MB); larger lists are searched block by block.
+BLOCK_ENTRIES = 20_000
 
 
 def allowed(length: int) -> int:
