@@ -56,9 +56,9 @@ def split_csv(array: pa.Array | pa.ChunkedArray, delimiter: int = COMMA) -> tupl
 
 
 def parse_lines(df: DataFrame, line: str = "line", fields: str = "fields", sound: str = "sound") -> DataFrame:
-    """``df`` with ``fields`` array<string> and ``sound`` boolean of the CSV text ``line``; ``line`` stays."""
-    if {fields, sound} & set(df.columns):
-        raise ValueError(f"columns {fields} and {sound} must be free")
+    """``df`` with ``fields`` array<string> and ``sound`` boolean of the CSV text ``line``; ``line`` stays. Columns with the name
+    of an added one, in any case, are left out."""
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in (fields.lower(), sound.lower())])
     schema = T.StructType([*df.schema.fields, T.StructField(fields, T.ArrayType(T.StringType())), T.StructField(sound, T.BooleanType())])
     at = df.columns.index(line)
 

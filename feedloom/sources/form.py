@@ -37,21 +37,28 @@ def form_rules(fields: Column, sound: Column, width: int = len(FORM_FIELDS)) ->
     ]
 
 
+#: Columns that reading adds.
+_ADDED = ("fields", "sound", "errors", "reason")
+
+
 def read_form(lines: DataFrame, line: str = "line") -> DataFrame:
     """``lines`` with the parsed ``fields`` and the array ``errors``.
 
     A null or empty line is one empty field, so it fails with ``columns``. Rows are independent; repeated lines and a
-    repeated header are judged like any other. Columns named fields, sound or errors in ``lines`` are refused.
+    repeated header are judged like any other. Columns of ``lines`` with the name of an added one, in any case, are left out.
     """
-    if "errors" in lines.columns:
-        raise ValueError("column errors must be free")
-    parsed = parse_lines(lines, line)
+    own = lines.select(*[F.col(f"`{c}`") for c in lines.columns if c.lower() not in _ADDED])
+    parsed = parse_lines(own, line)
     return judge(parsed, form_rules(F.col("fields"), F.col("sound")))
 
 
 def load_form(lines: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:
-    """(good rows with one text column per form field, empty texts as null; bad rows with ``reason``)."""
+    """(good rows with one text column per form field, empty texts as null; bad rows with ``reason``).
+
+    Other columns stay, but for those with the name of an added one and, among the good rows, of a form field.
+    """
     good, bad = split_rows(read_form(lines, line))
     texts = [F.nullif(F.get("fields", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(FORM_FIELDS)]
-    own = [c for c in lines.columns if c not in FORM_FIELDS]
-    return good.select(*own, *texts), bad.drop("fields", "sound")
+    taken = {*_ADDED, *(n.lower() for n in FORM_FIELDS)}
+    own = [F.col(f"`{c}`") for c in lines.columns if c.lower() not in taken]
+    return good.select(*own, *texts), bad.drop("fields", "sound", "errors")

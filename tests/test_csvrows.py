@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from feedloom.operators.csvrows import split_csv
-from feedloom.sources.form import FORM_FIELDS, load_form, read_form
+from feedloom.sources.form import FORM_FIELDS, load_form
 
 
 def parsed(*lines):
@@ -71,13 +71,11 @@ def test_reasons_in_order(spark):
     assert load_form(df.limit(0))[1].count() == 0
 
 
-def test_clashing_columns_are_refused(spark):
-    df = spark.createDataFrame([(1, "a", "b")], "line_id int, line string, errors string")
-    try:
-        read_form(df)
-    except ValueError:
-        return
-    raise AssertionError("a clash must be refused")
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, line(provider="Metro"), "b", "x", "y"), (2, "?", "b", "x", "y")], "line_id int, line string, errors string, Provider string, other string")
+    good, bad = load_form(df)
+    assert good.select("line_id", "provider", "other").collect() == [(1, "Metro", "y")]
+    assert bad.select("line_id", "reason", "Provider").collect() == [(2, "columns", "x")]
 
 
 def test_very_long_line(spark):
