@@ -140,23 +140,33 @@ class PlaceIndex:
         return self.units.search(typed, min(2, allowed(len(typed)))) if typed else None
 
     @lru_cache(maxsize=100_000)  # noqa: B019
-    def _named(self, typed: str) -> dict[int, int]:
-        return self.names.search(typed, allowed(len(typed)))
+    def _named(self, typed: str, most: int) -> dict[int, int]:
+        return self.names.search(typed, most)
 
     def candidates(self, country: str | None, unit: str | None, name: str | None) -> list[tuple[float, int]]:
-        """(penalty, place_id), the best first. The penalty is the edits, less for agreeing and more for disagreeing fields."""
+        """(penalty, place_id), the best first. The penalty is the edits, less for agreeing and more for disagreeing fields.
+
+        Edits are allowed one by one, up to what the text's length allows, until no entry with more of them could do better; so
+        the first of the list is the best of all, with all that are equally good.
+        """
         code = self._country(country)
-        out: dict[int, float] = {}
-        readings = [(unit, name)]
+        readings = [(fold(name), self._units(unit), False)]
         if fold(unit):
-            readings.append((name, unit))
-        for swapped, (u, n) in enumerate(readings):
-            typed = fold(n)
-            units = self._units(u)
-            if swapped and not units:
-                continue
+            readings.append((fold(unit), self._units(name), True))
+        readings = [r for r in readings if not r[2] or r[1]]
+        most = max(allowed(len(typed)) for typed, _, _ in readings)
+        found: list[tuple[float, int]] = []
+        for edits in range(min(1, most), most + 1):
+            found = self._within(edits, code, readings)
+            if found and found[0][0] < edits + 1 - 0.75:
+                break
+        return found
+
+    def _within(self, limit: int, code: str | None, readings: list[tuple[str, dict[str, int] | None, bool]]) -> list[tuple[float, int]]:
+        out: dict[int, float] = {}
+        for typed, units, swapped in readings:
             most = allowed(len(typed))
-            for place, edits in self._named(typed).items():
+            for place, edits in self._named(typed, min(limit, most)).items():
                 _, e_code, _, e_unit, _ = self.entries[place]
                 agrees = units is not None and e_unit in units
                 if swapped and not agrees:
