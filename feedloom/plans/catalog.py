@@ -18,6 +18,7 @@ from ..operators.csvrows import parse_lines
 from ..session import table
 from ..sources.catalog import last_of_each, row_range
 from ..sources.form import FORM_FIELDS, load_form
+from .api import Sources
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -270,6 +271,59 @@ def report_folders(spark, sf_dir):
     return lookup.suffix_match(folders, "folder", rows, "mdb_source_id")
 
 
+# Whole questions over both kinds of feeds.
+def sources(spark: SparkSession, sf_dir: str) -> Sources:
+    drop = ("feed_row_id", "rt_row_id", "updated_at", "loaded_at")
+    return Sources(latest_schedule(spark, sf_dir).drop(*drop), latest_realtime(spark, sf_dir).drop(*drop))
+
+
+def _both_sql(own: str, live: str) -> str:
+    return _LATEST + f""", refs AS (SELECT mdb_source_id, trim(unnest(static_reference)) AS ref FROM r),
+h AS (SELECT mdb_source_id, data_type, status FROM s WHERE {own}), l AS (SELECT mdb_source_id, data_type, status FROM r WHERE {live})
+SELECT * FROM l UNION ALL SELECT * FROM h WHERE mdb_source_id NOT IN (SELECT mdb_source_id FROM l)"""
+
+
+def _referring_sql(own: str) -> str:
+    return f"mdb_source_id IN (SELECT refs.mdb_source_id FROM refs JOIN s ON refs.ref = s.mdb_source_id WHERE {own})"
+
+
+_IN_BOX = f"coalesce(s.location.bounding_box.maximum_latitude > {BOX[0]} AND {BOX[1]} > s.location.bounding_box.minimum_latitude AND s.location.bounding_box.maximum_longitude > {BOX[2]} AND {BOX[3]} > s.location.bounding_box.minimum_longitude, false)"
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    return df.select("mdb_source_id", "data_type", "status")
+
+
+@query(_both_sql("true", "true"))
+def sources_all(spark, sf_dir):
+    return _shown(sources(spark, sf_dir).all())
+
+
+@query(_both_sql("s.location.country_code = 'XB'", _referring_sql("s.location.country_code = 'XB'")))
+def sources_by_country(spark, sf_dir):
+    return _shown(sources(spark, sf_dir).by_country_code("XB"))
+
+
+@query(_both_sql(_IN_BOX, _referring_sql(_IN_BOX)))
+def sources_by_box(spark, sf_dir):
+    return _shown(sources(spark, sf_dir).by_bounding_box(*BOX))
+
+
+@query(_both_sql("list_contains(features, 'pathways')", _referring_sql("list_contains(s.features, 'pathways')") + " OR list_contains(features, 'pathways')"))
+def sources_by_feature(spark, sf_dir):
+    return _shown(sources(spark, sf_dir).by_feature("pathways"))
+
+
+@query(_both_sql("status = 'active' OR status IS NULL", "status = 'active' OR status IS NULL"))
+def sources_by_status(spark, sf_dir):
+    return _shown(sources(spark, sf_dir).by_status("active"))
+
+
+@query(_both_sql("is_official = 'True'", "is_official = 'True'"))
+def sources_by_official(spark, sf_dir):
+    return _shown(sources(spark, sf_dir).by_is_official("True"))
+
+
 # Aggregates, quantifiers, rules.
 @query("""SELECT mdb_source_id, CASE WHEN k THEN a END AS minimum_latitude, CASE WHEN k THEN b END AS maximum_latitude, CASE WHEN k THEN c END AS minimum_longitude, CASE WHEN k THEN d END AS maximum_longitude
 FROM (SELECT mdb_source_id, min(minimum_latitude) AS a, max(minimum_latitude) AS b, min(maximum_longitude) AS c, max(maximum_longitude) AS d, count(minimum_latitude) > 0 AND count(maximum_longitude) > 0 AS k FROM box_log GROUP BY mdb_source_id)""")
