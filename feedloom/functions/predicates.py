@@ -21,12 +21,19 @@ def same(c: Column, value: object) -> Column:
 
 def overlapping_edges(low: Column, high: Column, other_low: Column | float, other_high: Column | float) -> Column:
     """Strict: edges that only touch don't overlap; null if any end is null."""
-    return (high > other_low) & (F.lit(other_high) > low if not isinstance(other_high, Column) else other_high > low)
+    return (high > other_low) & (low < other_high)
 
 
 def overlapping_boxes(box: tuple[Column, Column, Column, Column], other: tuple[float | Column, float | Column, float | Column, float | Column]) -> Column:
-    """Boxes as (min lat, max lat, min lon, max lon); strict on both axes; false if any corner is null."""
-    return sure(overlapping_edges(box[0], box[1], other[0], other[1]) & overlapping_edges(box[2], box[3], other[2], other[3]))
+    """Boxes as (min lat, max lat, min lon, max lon); strict on both axes; false if any corner is null.
+
+    Two-valued by its null checks rather than by a wrapper, so that each part of it can be pushed to the scan.
+    """
+    verdict = F.lit(True)
+    for corner in (*box, *other):
+        if isinstance(corner, Column):
+            verdict = verdict & corner.isNotNull()
+    return verdict & overlapping_edges(box[0], box[1], other[0], other[1]) & overlapping_edges(box[2], box[3], other[2], other[3])
 
 
 def has_feature(features: Column, feature: str) -> Column:
@@ -45,7 +52,7 @@ def is_stable(flag: Column) -> Column:
 
 
 def has_latest(data_type: Column, latest: Column) -> Column:
-    return latest.isNotNull() & sure(data_type == "gtfs")
+    return latest.isNotNull() & same(data_type, "gtfs")
 
 
 def status_outside(status: Column, ignored: tuple[str, ...] = ("deprecated",)) -> Column:
