@@ -260,6 +260,12 @@ class Classifier:
                 if f in self.index:
                     x[r, self.index[f]] = 1
         x[:, :-1] /= np.sqrt(np.maximum(x[:, :-1].sum(1, keepdims=True), 1))
+        words = [f for f in self.index if " " not in f]
+        self.words = {w: i for i, w in enumerate(words)}
+        self.singles = np.array([self.index[w] for w in words], np.int64)
+        # the words of a known pair are known; a pair is looked up by their numbers
+        pairs = sorted((self.words[a] * len(words) + self.words[b], i) for f, i in self.index.items() if " " in f for a, b in [f.split(" ")])
+        self.pair_codes, self.pairs = np.array(pairs, np.int64).reshape(-1, 2).T
         self.weights = np.zeros((len(CATEGORIES), x.shape[1]))
         for k, c in enumerate(CATEGORIES):
             y = np.array([label == c for _, label in sentences], float)
@@ -273,10 +279,21 @@ class Classifier:
         words = re.findall(r"[^\W\d_]+", sentence)
         return [*words, *[f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]]
 
-    def probabilities(self, sentence: str) -> np.ndarray:
-        own = [self.index[f] for f in set(self.features(sentence)) if f in self.index]
-        n = max(len(own), 1)
-        z = self.weights[:, own].sum(1) / math.sqrt(n) + self.weights[:, -1]
+    def probabilities(self, sentences: list[str]) -> np.ndarray:
+        """A row for each sentence, a column for each category."""
+        split = [re.findall(r"[^\W\d_]+", s) for s in sentences]
+        ids = np.array([self.words.get(w, -1) for ws in split for w in ws], np.int64)
+        owner = np.repeat(np.arange(len(split)), [len(ws) for ws in split])
+        known = ids >= 0
+        both = known[:-1] & known[1:] & (owner[:-1] == owner[1:])
+        codes = (ids[:-1] * len(self.words) + ids[1:])[both]
+        place = np.searchsorted(self.pair_codes, codes)
+        hit = np.searchsorted(self.pair_codes, codes, "right") > place
+        features = np.concatenate([self.singles[ids[known]], self.pairs[place[hit]]])
+        width = self.weights.shape[1]
+        rows, own = np.divmod(np.unique(np.concatenate([owner[known], owner[:-1][both][hit]]) * width + features), width)
+        n = np.maximum(np.bincount(rows, minlength=len(split)), 1)
+        z = np.stack([np.bincount(rows, w[own], len(split)) / np.sqrt(n) + w[-1] for w in self.weights], axis=1)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -341,22 +358,28 @@ class Moderator:
         return abusive, hateful, sexual
 
     def scores(self, text: str | None) -> tuple[float, float, float]:
-        """The highest score of any sentence for each category: its cues, and where it has any, what the classifier adds; sentences
-        that report or forbid such conduct count little. Null and blank texts score 0."""
-        best = [0.0, 0.0, 0.0]
-        before = ""
-        for s in self.sentences(text) if text else []:
-            cues = self.cues(s, before)
-            if not any(cues):
+        return self.scores_of([text])[0]
+
+    def scores_of(self, texts: list[str | None]) -> list[tuple[float, float, float]]:
+        """The highest score of any sentence of each text for each category: its cues and what the classifier adds, which is run on
+        every sentence; sentences that report or forbid such conduct count little. Null and blank texts score 0."""
+        split = [self.sentences(t) if t else [] for t in texts]
+        place = {s: i for i, s in enumerate(dict.fromkeys(s for ss in split for s in ss))}
+        learned = np.maximum(self.model.probabilities(list(place)) - 0.5, 0.0).tolist() if place else []
+        out = []
+        for sentences in split:
+            best = [0.0, 0.0, 0.0]
+            before = ""
+            for s in sentences:
+                cues, added = self.cues(s, before), learned[place[s]]
+                if any(cues) or any(added):
+                    excused = REPORTING.search(s) is not None
+                    for k in range(3):
+                        own = cues[k] + added[k] * (1.2 if max(cues) == cues[k] else 0.4)
+                        best[k] = max(best[k], own * (0.3 if excused else 1.0))
                 before = s
-                continue
-            learned = self.model.probabilities(s)
-            excused = REPORTING.search(s) is not None
-            for k in range(3):
-                own = cues[k] + max(0.0, float(learned[k]) - 0.5) * (1.2 if max(cues) == cues[k] else 0.4)
-                best[k] = max(best[k], own * (0.3 if excused else 1.0))
-            before = s
-        return best[0], best[1], best[2]
+            out.append((best[0], best[1], best[2]))
+        return out
 
 
 def moderate(documents: DataFrame, key: str, text: str, examples: DataFrame, groups: DataFrame, keep: tuple[str, ...] = (), example_rows: int = EXAMPLE_ROWS) -> DataFrame:
@@ -372,7 +395,8 @@ def moderate(documents: DataFrame, key: str, text: str, examples: DataFrame, gro
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         moderator = Moderator(*shipped.value)
         for batch in batches:
-            got = np.array([moderator.scores(t) for t in batch.column(1).to_pylist()], float).reshape(-1, 3)
+            texts = batch.column(1).to_pylist()
+            got = np.array([x for at in range(0, len(texts), 500) for x in moderator.scores_of(texts[at : at + 500])], float).reshape(-1, 3)
             own = [batch.column(i) for i in range(batch.num_columns) if i != 1]
             yield pa.RecordBatch.from_arrays([*own, *[pa.array(got[:, k]) for k in range(3)]], names=[key, *keep, *CATEGORIES])
 

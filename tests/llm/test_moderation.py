@@ -59,6 +59,15 @@ def test_reports_and_rules_are_none(moderator):
         assert categories(moderator, text) == [], text
 
 
+def test_sentences_without_a_cue_are_classified():
+    fitted = m.Moderator([("Du blafasel zonk.", "abusive"), ("The tram is late.", "none")] * 20, GROUPS)
+    assert fitted.cues("blafasel zonk du.", "") == (0.0, 0.0, 0.0)
+    worded, plain = "All fine. Blafasel zonk du.", "The tram is late."
+    assert 0.1 < fitted.scores(worded)[0] <= 0.6
+    assert fitted.scores_of([worded, None, plain, "", worded]) == [fitted.scores(worded), (0.0,) * 3, fitted.scores(plain), (0.0,) * 3, fitted.scores(worded)]
+    assert m.Moderator([], []).scores("You idiot!")[0] >= 1
+
+
 def test_table_nulls_and_rates(spark, data):
     df = spark.createDataFrame([(1, "Go to hell, moron.", "a"), (2, None, "a"), (3, "", None), (4, " \n ", None), (5, "All fine. " * 20_000 + "You idiot!", "a"), (5, "You idiot!", "a")], "doc_id long, text string, source string")
     ex, places = spark.read.parquet(f"{data}/moderation_examples.parquet"), spark.read.parquet(f"{data}/places.parquet").select("country_name")
