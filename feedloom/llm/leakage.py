@@ -153,11 +153,11 @@ def leaked(documents: DataFrame, doc_id: str, text: str, items: DataFrame, item_
 
 
 def reparameterised(documents: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, width: int = WINDOW) -> DataFrame:
-    """(doc id, windows, item id): documents with windows of an item whose slots are renamed consistently, not verbatim; how many
-    distinct ones, and the least item that has any of them."""
+    """(doc id, windows, item id): documents with windows of an item whose slots are renamed consistently, and how many; a row for
+    each item that has any of them. Windows that are verbatim those of any item count for none."""
     found, held = _sides(documents, doc_id, text, items, item_id, item_text, width)
-    forms = held.groupBy(F.col("template").alias("h_template"), F.col("pattern").alias("h_pattern")).agg(F.min(item_id).alias(item_id))
+    forms = held.select(F.col("template").alias("h_template"), F.col("pattern").alias("h_pattern"), item_id).distinct()
     exact = held.select(*[F.col(c).alias(f"h_{c}") for c in ("template", "pattern", "slots")]).distinct()
     renamed = found.join(_sided(exact), (found["template"] == F.col("h_template")) & (found["pattern"] == F.col("h_pattern")) & (found["slots"] == F.col("h_slots")), "left_anti")
     hits = renamed.join(_sided(forms), (renamed["template"] == F.col("h_template")) & (renamed["pattern"] == F.col("h_pattern")))
-    return hits.groupBy(doc_id).agg(F.count(F.lit(1)).alias("windows"), F.min(item_id).alias(item_id))
+    return hits.groupBy(doc_id, item_id).agg(F.count(F.lit(1)).alias("windows")).select(doc_id, "windows", item_id)

@@ -30,6 +30,16 @@ def test_reparameterised_items(spark):
     assert [r[0] for r in found(spark, [(1, renamed, ""), (2, inconsistent, ""), (3, "nothing of that kind at all", "")], run=lk.reparameterised)] == [1]
 
 
+def test_all_renamed_items_of_a_document_are_given(spark):
+    other = "the tram carries 5 riders and the same 5 riders come back at night"
+    sibling = ITEM.replace("365", "17").replace("70", "9").replace("332", "4")
+    docs = [(1, ITEM.replace("365", "18").replace("70", "8").replace("332", "3") + " So " + other.replace("5", "6"), ""), (2, other.replace("5", "7"), ""), (3, other, "")]
+    got = found(spark, docs, [(5, ITEM), (7, sibling), (90, other), (91, other)], lk.reparameterised)
+    assert {(d, i) for d, _, i in got} == {(1, 5), (1, 7), (1, 90), (1, 91), (2, 90), (2, 91)}
+    windows = {(d, i): w for d, w, i in got}
+    assert windows[1, 5] == windows[1, 7] > windows[1, 90] == windows[2, 91] == 3
+
+
 def test_slots_must_agree_in_pattern(spark):
     item = "the tram carries 5 riders and the same 5 riders come back at night"
     docs = [(1, item.replace("5", "8"), ""), (2, "the tram carries 8 riders and the same 9 riders come back at night", "")]
