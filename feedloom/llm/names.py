@@ -10,6 +10,7 @@ assignment of tokens that permits initials and abbreviations, and the ties, whic
 from __future__ import annotations
 
 import itertools
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -43,8 +44,8 @@ _TOKENS = re.compile(r"[^\W_]+\.?")
 _INITIALISM = re.compile(r"^(?:[A-Z]{2,8}|(?:[A-Z]\.){2,8})$")
 #: Longest token that may be an abbreviated word of kind.
 ABBREVIATION = 7
-#: At most so many proper tokens of a reading are paired with each other; longer readings pair neighbours.
-PAIRED_TOKENS = 5
+#: Keys that are given out at once, beyond those of one reading.
+KEYS_AT_ONCE = 500_000
 #: Highest cost of an alignment that ties two readings.
 MOST_COST = 4
 #: Rows of an organisation from which its rows are spread over several tasks, and the rows of each.
@@ -59,6 +60,23 @@ def is_abbreviation(short: str, word: str) -> bool:
     return all(c in rest for c in short)
 
 
+def deletions(token: str, most: int) -> set[str]:
+    """The token and all that remains of it after at most ``most`` deletions."""
+    out = layer = {token}
+    for _ in range(most):
+        layer = {t[:i] + t[i + 1 :] for t in layer for i in range(len(t))}
+        out = out | layer
+    return out
+
+
+#: The longer words of kind by what remains of them after at most two deletions.
+_KIND_DELETIONS: dict[str, list[str]] = {}
+for _w in KIND_WORDS:
+    if len(_w) >= 5:
+        for _t in deletions(_w, 2):
+            _KIND_DELETIONS.setdefault(_t, []).append(_w)
+
+
 @lru_cache(maxsize=100_000)
 def kind_of(token: str, pointed: bool) -> str | None:
     """The word of kind that a folded token stands for: itself, a misspelling, or an abbreviation."""
@@ -71,8 +89,7 @@ def kind_of(token: str, pointed: bool) -> str | None:
                 return w
     if len(token) >= 5:
         most = 1 if len(token) < 10 else 2
-        # a misspelling keeps the first letter, or has it second, or begins with the second
-        near = (w for w in KIND_WORDS if len(w) >= 5 and (w[0] in token[:2] or w[1] == token[0]))
+        near = {w for t in deletions(token, most) for w in _KIND_DELETIONS.get(t, ())}
         best = min(((osa(token, w, most), w) for w in near), default=(9, ""))
         if best[0] <= most:
             return best[1]
@@ -185,13 +202,45 @@ def token_cost(a: str, b: str, a_short: bool, b_short: bool) -> float:
     return 99
 
 
+def assignment(costs: list[list[float]]) -> float:
+    """Least total cost of giving each row a column of its own, by the Hungarian method; no more rows than columns."""
+    if not costs:
+        return 0.0
+    n, m = len(costs), len(costs[0])
+    of_row, of_column = [0.0] * (n + 1), [0.0] * (m + 1)
+    row_of = [0] * (m + 1)  # the row that has a column, from 1; 0 for none
+    for i in range(1, n + 1):
+        row_of[0], j = i, 0
+        least, before, seen = [math.inf] * (m + 1), [0] * (m + 1), [False] * (m + 1)
+        while row_of[j]:
+            seen[j] = True
+            r, step, after = row_of[j], math.inf, 0
+            for k in range(1, m + 1):
+                if not seen[k]:
+                    c = costs[r - 1][k - 1] - of_row[r] - of_column[k]
+                    if c < least[k]:
+                        least[k], before[k] = c, j
+                    if least[k] < step:
+                        step, after = least[k], k
+            for k in range(m + 1):
+                if seen[k]:
+                    of_row[row_of[k]] += step
+                    of_column[k] -= step
+                else:
+                    least[k] -= step
+            j = after
+        while j:
+            row_of[j], j = row_of[before[j]], before[j]
+    return float(sum(costs[row_of[k] - 1][k - 1] for k in range(1, m + 1) if row_of[k]))
+
+
 def align(a: tuple[str, ...], b: tuple[str, ...], a_short: frozenset[str], b_short: frozenset[str]) -> float:
     """Least total cost of an assignment of the tokens of the shorter list to those of the other; each token left over costs 3."""
     if len(a) > len(b):
         a, b, a_short, b_short = b, a, b_short, a_short
     left = 3 * (len(b) - len(a))
-    if len(b) > 7:  # neighbours only: long names keep their order
-        return left + sum(token_cost(x, y, x in a_short, y in b_short) for x, y in zip(a, b, strict=False))
+    if len(b) > 7:
+        return left + assignment([[token_cost(x, y, x in a_short, y in b_short) for y in b] for x in a])
     best: dict[int, float] = {0: 0.0}
     for x in a:
         new: dict[int, float] = {}
@@ -205,15 +254,6 @@ def align(a: tuple[str, ...], b: tuple[str, ...], a_short: frozenset[str], b_sho
     return left + min(best.values(), default=0.0)
 
 
-def deletions(token: str, most: int) -> set[str]:
-    """The token and all that remains of it after at most ``most`` deletions."""
-    out = layer = {token}
-    for _ in range(most):
-        layer = {t[:i] + t[i + 1 :] for t in layer for i in range(len(t))}
-        out = out | layer
-    return out
-
-
 @lru_cache(maxsize=200_000)
 def _deletion_hashes(token: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of what remains of a token after at most one deletion, and of what takes two; as many as its length allows."""
@@ -225,8 +265,9 @@ def _deletion_hashes(token: str) -> tuple[np.ndarray, np.ndarray]:
 
 def neighbour_keys(tokens: tuple[str, ...], short: frozenset[str]) -> np.ndarray:
     """Keys that a reading shares with those within one edit in each of two tokens, two edits in one of them, or an abbreviated
-    token in one. The hashes of two parts are added, so their order doesn't matter."""
-    pairs = itertools.combinations(tokens, 2) if len(tokens) <= PAIRED_TOKENS else zip(tokens, tokens[1:], strict=False)
+    token in one. The hashes of two parts are added, so their order doesn't matter. A single token has keys of its own, for as many
+    edits as its length allows."""
+    pairs = itertools.combinations(tokens, 2)
     keys: list[np.ndarray] = []
     exact = lambda t: np.uint64(xxhash.xxh3_64_intdigest(t))
     with np.errstate(over="ignore"):
@@ -239,7 +280,7 @@ def neighbour_keys(tokens: tuple[str, ...], short: frozenset[str]) -> np.ndarray
             if b in short or len(b) > 3:
                 keys.append(np.array([exact(b[0] + ".") + exact(a)], np.uint64))
         if len(tokens) == 1:
-            keys.append(np.array([exact("s." + tokens[0])], np.uint64))
+            keys += [part + exact("s.") for part in _deletion_hashes(tokens[0])]
     return np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
 
 
@@ -267,16 +308,17 @@ def _keyed(nodes: DataFrame, by_kind: bool) -> DataFrame:
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.iloc[at : at + 1000]
-                keys = []
-                for r in part["reading"]:
-                    tokens, short, kind = _parts(r)
-                    lead = xxhash.xxh3_64_intdigest(" ".join(sorted(leads_of(kind)))) if by_kind else 0
-                    keys.append(neighbour_keys(tokens, short) ^ np.uint64(lead))
-                sizes = [len(k) for k in keys]
-                flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-                yield pd.DataFrame({"node": np.repeat(part["node"].to_numpy(), sizes), "freq": np.repeat(part["freq"].to_numpy(), sizes), "key": flat.view(np.int64)})
+            keys: list[np.ndarray] = []
+            first = held = 0
+            for at, r in enumerate(batch["reading"], 1):
+                tokens, short, kind = _parts(r)
+                lead = xxhash.xxh3_64_intdigest(" ".join(sorted(leads_of(kind)))) if by_kind else 0
+                keys.append(neighbour_keys(tokens, short) ^ np.uint64(lead))
+                held += len(keys[-1])
+                if held >= KEYS_AT_ONCE or at == len(batch):
+                    part, sizes = batch.iloc[first:at], [len(k) for k in keys]
+                    yield pd.DataFrame({"node": np.repeat(part["node"].to_numpy(), sizes), "freq": np.repeat(part["freq"].to_numpy(), sizes), "key": np.concatenate(keys).view(np.int64)})
+                    keys, first, held = [], at, 0
 
     # a row becomes dozens of keys, so the rows are spread first, however few bytes they are
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -68,6 +68,29 @@ def test_assignment():
     assert n.align(("aaaa",), ("bbbb",), frozenset(), frozenset()) >= 99
 
 
+def test_single_tokens_and_long_names_meet(spark):
+    long = "Abelmar Corvina Delgoro Fenwick Grimalda Hostrel Ivendor Jukelmer Nakelva"
+    rows = [(1, "Greyhound Lines", None), (2, "Grehound Lines", None), (3, "Kanawaro Lines", None), (4, long, None), (5, long.replace("Abelmar", "Zbelmar"), None), (6, long.replace("Corvina ", ""), None)]
+    assert linked(spark, rows) == {(1, 2), (4, 5), (4, 6), (5, 6)}
+    ends = (("abelmar", "corvina", "delgoro", "fenwick", "grimald", "hostrel"), ("abelmar", "corvinx", "dexgoro", "fenwixk", "gxrimald", "hostrel"))
+    assert set(n.neighbour_keys(ends[0], frozenset()).tolist()) & set(n.neighbour_keys(ends[1], frozenset()).tolist())
+
+
+def test_long_assignment_is_optimal():
+    rng = random.Random(3)
+    for _ in range(200):
+        rows, columns = sorted((rng.randint(0, 5), rng.randint(1, 5)))
+        costs = [[rng.choice((0, 0.5, 1, 2, 99)) for _ in range(columns)] for _ in range(rows)]
+        assert n.assignment(costs) == min(sum(costs[i][j] for i, j in enumerate(p)) for p in itertools.permutations(range(columns), rows))
+    tokens = tuple(sorted(f"{c}akelva" for c in "bcdfghjkl"))
+    assert n.align(tokens, tokens[1:], frozenset(), frozenset()) == 3
+
+
+def test_words_of_kind_with_any_first_letters():
+    assert n.kind_of("xransit", False) == "transit"
+    assert n.kind_of("xzansportation", False) == "transportation"
+
+
 def test_initialisms_are_no_words_of_kind():
     assert n.read_row("SVIC - Selpelda Vinraba", None) == (("selpelda", "vinraba"), (), "")
     assert n.read_row("SELPELDA VINRABA BUS CO.", None) == (("selpelda", "vinraba"), (), "bus company")
