@@ -3,8 +3,9 @@
 Each row's organisation is read from its name column or, where that leaves it out, from the second one: tokens, the words of
 kind (with their abbreviations) apart from the proper words. Distinct readings are linked through a symmetric-delete
 neighbourhood index: pairs of proper tokens under all their deletions, so that readings within small edit distances share a key
-whatever their order. In each key every reading is tied to the most frequent one only, the tie is checked by an optimal
-assignment of tokens that permits initials and abbreviations, and the ties, which form trees, are resolved by pointer doubling.
+whatever their order. In each key every reading is tied to the most frequent one, the tie is checked by an optimal assignment of
+tokens that permits initials and abbreviations, readings that fail it are tied among themselves in the same way, and the ties,
+which form trees, are resolved by pointer doubling.
 """
 
 from __future__ import annotations
@@ -303,17 +304,15 @@ def readings(df: DataFrame, row_id: str, first: str, second: str) -> DataFrame:
     return rows.filter(F.col("row").isNotNull() & F.col("text").isNotNull()).mapInPandas(read, "row bigint, text string, reading string").filter(F.col("reading").isNotNull())
 
 
-def _keyed(nodes: DataFrame, by_kind: bool) -> DataFrame:
-    """(node, freq, key) of readings; with ``by_kind`` keys are shared only within a kind."""
+def _keyed(nodes: DataFrame) -> DataFrame:
+    """(node, freq, key) of readings."""
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys: list[np.ndarray] = []
             first = held = 0
             for at, r in enumerate(batch["reading"], 1):
-                tokens, short, kind = _parts(r)
-                lead = xxhash.xxh3_64_intdigest(" ".join(sorted(leads_of(kind)))) if by_kind else 0
-                keys.append(neighbour_keys(tokens, short) ^ np.uint64(lead))
+                keys.append(neighbour_keys(*_parts(r)[:2]))
                 held += len(keys[-1])
                 if held >= KEYS_AT_ONCE or at == len(batch):
                     part, sizes = batch.iloc[first:at], [len(k) for k in keys]
@@ -325,40 +324,71 @@ def _keyed(nodes: DataFrame, by_kind: bool) -> DataFrame:
     return nodes.select("reading", "freq", F.xxhash64("reading").alias("node")).repartition(parts, "node").mapInPandas(keyed, "node bigint, freq bigint, key bigint")
 
 
-def _checked(nodes: DataFrame, by_kind: bool) -> DataFrame:
-    """(a, b, rep_freq, cost): readings and the most frequent one of each key, with the cost of aligning them; null where the
-    kinds differ."""
-    by_key = Window.partitionBy("key").orderBy(F.desc("freq"), "node")
-    first = _keyed(nodes, by_kind).select("node", F.first("node").over(by_key).alias("rep"))
-    pairs = first.filter("node <> rep").distinct()
-    texts = nodes.select(F.xxhash64("reading").alias("n"), "reading", "freq")
-    pairs = pairs.join(texts.select(F.col("n").alias("node"), F.col("reading").alias("a")), "node")
-    pairs = pairs.join(texts.select(F.col("n").alias("rep"), F.col("reading").alias("b"), F.col("freq").alias("rep_freq")), "rep")
+def tie_cost(a: str, b: str) -> float:
+    """Cost of aligning two readings; infinite where the kinds differ."""
+    (ta, sa, ka), (tb, sb, kb) = _parts(a), _parts(b)
+    return align(ta, tb, sa, sb) if kinds_agree(ka, kb) else math.inf
+
+
+def _checked(first: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, rep, a, b, rep_freq, cost): the distinct pairs of ``first`` with their readings and the cost of aligning them."""
+    pairs = first.select("node", "rep").distinct()
+    pairs = pairs.join(texts.select("node", F.col("reading").alias("a")), "node")
+    pairs = pairs.join(texts.select(F.col("node").alias("rep"), F.col("reading").alias("b"), F.col("freq").alias("rep_freq")), "rep")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            costs = []
-            for a, b in zip(batch["a"], batch["b"], strict=True):
-                (ta, sa, ka), (tb, sb, kb) = _parts(a), _parts(b)
-                costs.append(align(ta, tb, sa, sb) if kinds_agree(ka, kb) else None)
-            yield batch[["a", "b", "rep_freq"]].assign(cost=pd.Series(costs, index=batch.index, dtype="float64"))
+            costs = [tie_cost(a, b) for a, b in zip(batch["a"], batch["b"], strict=True)]
+            yield batch.assign(cost=pd.Series(costs, index=batch.index, dtype="float64"))
+
+    return pairs.select("node", "rep", "a", "b", "rep_freq").mapInPandas(check, "node bigint, rep bigint, a string, b string, rep_freq bigint, cost double")
+
+
+def _tied_again(left: DataFrame) -> DataFrame:
+    """(a, b, rep_freq, cost) of the rows (key, node, freq, reading) that failed against the first reading of their key.
+
+    The most frequent of them is the next that the others are compared with, those that fail against it go on with the next, until
+    none is left: the rows of a key, in that order, each meet the ones before that were tied to none.
+    """
+
+    def tie(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, heads = None, []
+        cost_of = lru_cache(maxsize=500_000)(tie_cost)
+        for batch in batches:
+            out = []
+            for k, freq, reading in zip(batch["key"], batch["freq"], batch["reading"], strict=True):
+                if k != key:
+                    key, heads = k, []
+                for head, head_freq in heads:
+                    cost = cost_of(reading, head)
+                    if cost <= MOST_COST:
+                        out.append((reading, head, head_freq, cost))
+                        break
+                else:
+                    heads.append((reading, freq))
+            yield pd.DataFrame(list(dict.fromkeys(out)), columns=["a", "b", "rep_freq", "cost"])
 
-    return pairs.select("a", "b", "rep_freq").mapInPandas(check, "a string, b string, rep_freq bigint, cost double")
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = left.repartition(parts, "key").sortWithinPartitions("key", F.desc("freq"), "node").select("key", "freq", "reading")
+    return ordered.mapInPandas(tie, "a string, b string, rep_freq bigint, cost double").distinct()
 
 
 def ties(nodes: DataFrame) -> DataFrame:
     """(id, parent): each reading tied to the most frequent one that shares a key and aligns with it.
 
     nodes: reading, freq. Frequencies fall along no tie (readings of the same frequency go by their hash), so ties form trees.
-    Readings whose key belongs to an organisation of another kind are tied once more among themselves, kind by kind.
+    Readings that fail against the first of a key, by their kind or their cost, are tied among themselves.
     """
-    checked = cut(_checked(nodes, False))
-    # a cost is NaN where the kinds differ
-    good = checked.filter(F.col("cost").isNotNull() & ~F.isnan("cost") & (F.col("cost") <= MOST_COST))
-    other_kind = checked.filter(F.col("cost").isNull() | F.isnan("cost")).select(F.col("a").alias("reading")).distinct()
-    again = cut(other_kind.join(nodes, "reading"))
-    if not again.isEmpty():
-        good = good.unionByName(_checked(again, True).filter(F.col("cost") <= MOST_COST))
+    by_key = Window.partitionBy("key").orderBy(F.desc("freq"), "node")
+    first = cut(_keyed(nodes).select("node", "key", F.first("node").over(by_key).alias("rep")).filter("node <> rep"))
+    texts = nodes.select(F.xxhash64("reading").alias("node"), "reading", "freq")
+    checked = cut(_checked(first, texts))
+    good = checked.filter(F.col("cost") <= MOST_COST).select("a", "b", "rep_freq", "cost")
+    failed = checked.filter(F.col("cost") > MOST_COST).select("node", "rep")
+    # a key with one failed row has none to compare it with
+    left = first.join(failed, ["node", "rep"]).select("node", "key")
+    left = left.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1").drop("n")
+    good = good.unionByName(_tied_again(left.join(texts, "node")))
     return good.groupBy(F.col("a").alias("id")).agg(F.min_by("b", F.struct(F.floor("cost"), -F.col("rep_freq"), "b")).alias("parent"))
 
 

@@ -47,6 +47,17 @@ def test_same_words_of_another_kind_stay_apart(spark):
     assert linked(spark, rows) == {(1, 2), (3, 4)}
 
 
+def test_readings_that_fail_against_the_first_are_compared(spark):
+    # kinds that overlap, below a frequent reading of another one
+    rows = [(i, "Jukelmer Nakelva Bus Company", None) for i in range(5)] + [(10, "Jukelmer Nakelva Ferry Services", None), (11, "Jukelmer Nakelvo Ferry", None)]
+    # three kinds, so that the second reading of a key fails too
+    rows += [(20 + 10 * k + i, f"Kanawa {w} {kind}", None) for k, kind in enumerate(("Metro", "Ferry", "Railway")) for i, w in enumerate(("Wazori", "Wazzori"))]
+    assert linked(spark, rows) == {(10, 11), (20, 21), (30, 31), (40, 41)}
+    # by cost: the frequent reading shares two tokens, but has two others
+    nodes = spark.createDataFrame([("abelmar corvina delgoro fenwick grimald||", 9), ("abelmar corvina hostrel||", 2), ("abelmar corvino hostrel||", 1)], "reading string, freq long")
+    assert {tuple(r) for r in n.ties(nodes).collect()} == {("abelmar corvino hostrel||", "abelmar corvina hostrel||")}
+
+
 def test_hot_organisations_are_spread(spark, monkeypatch):
     monkeypatch.setattr(n, "SPREAD_ROWS", 5)
     rows = [(i, p, m) for i, (p, m) in enumerate(VARIANTS)]
