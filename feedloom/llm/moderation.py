@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -147,48 +148,69 @@ class Deobfuscator:
             return got
         # of a run of one letter one or two may stand
         runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", word.lower(), re.S)]
-        states: dict[str, tuple[float, str]] = {"^^^": (0.0, "")}
-        for c, n in runs:
-            # a mask stands for as many letters as it has signs; other runs for one or two
-            for _ in range(n if c in MASKS else 1):
-                new: dict[str, tuple[float, str]] = {}
-                for context, (cost, text) in states.items():
-                    for x, price in self.options(c):
-                        repeats = (1,) if n == 1 or c in MASKS or not x else (1, 2)
-                        for times in repeats:
-                            ctx, total = context, cost + price
-                            for _ in range(times):
-                                if x:
-                                    total += self.model.cost(ctx, x)
-                                    ctx = ctx[1:] + x
-                            if n > 2 and c not in MASKS and times == 2:
-                                total += 0.3
-                            if ctx not in new or total < new[ctx][0]:
-                                new[ctx] = (total, text + x * times)
-                states = dict(sorted(new.items(), key=lambda kv: kv[1][0])[: self.BEAM])
-        best = min(((cost + self.model.cost(ctx, "$"), text) for ctx, (cost, text) in states.items()), default=(0.0, word.lower()))[1]
+        # a mask stands for as many letters as it has signs; other runs for one or two
+        steps = [(self.options(c), n, c in MASKS) for c, n in runs for _ in range(n if c in MASKS else 1)]
+        cost, best, whole = self._search(steps, math.inf, self.BEAM)
+        if not whole:
+            # again without the beam: what costs more than the reading found can't lead to a better one
+            again = self._search(steps, cost, None)
+            best = again[1] if again[0] < cost else best
         if len(self.memory) > 200_000:
             self.memory.clear()
         self.memory[word] = best
         return best
 
+    def _search(self, steps: list[tuple[list[tuple[str, float]], int, bool]], most: float, beam: int | None) -> tuple[float, str, bool]:
+        """(cost, text) of the cheapest reading that costs at most ``most``, and whether no context was left out for the beam."""
+        rest = [0.0]
+        for options, _, _ in reversed(steps):
+            rest.append(rest[-1] + min(price for _, price in options))
+        states: dict[str, tuple[float, str]] = {"^^^": (0.0, "")}
+        whole = True
+        for at, (options, n, mask) in enumerate(steps, 1):
+            limit = most - rest[len(steps) - at]
+            new: dict[str, tuple[float, str]] = {}
+            for context, (cost, text) in states.items():
+                for x, price in options:
+                    repeats = (1,) if n == 1 or mask or not x else (1, 2)
+                    for times in repeats:
+                        ctx, total = context, cost + price
+                        for _ in range(times):
+                            if x:
+                                total += self.model.cost(ctx, x)
+                                ctx = ctx[1:] + x
+                        if n > 2 and times == 2:
+                            total += 0.3
+                        if total <= limit and (ctx not in new or total < new[ctx][0]):
+                            new[ctx] = (total, text + x * times)
+            if beam and len(new) > beam:
+                whole = False
+                new = dict(sorted(new.items(), key=lambda kv: kv[1][0])[:beam])
+            states = new
+        cost, text = min(((cost + self.model.cost(ctx, "$"), text) for ctx, (cost, text) in states.items()), default=(math.inf, ""))
+        return cost, text, whole
+
     #: Letters set apart: single ones with the same spaces or signs between.
     _APART = re.compile(r"(?<![^\W_])(?:[^\W\d_](?:[ ]|[-._*]{1,2})){3,}[^\W\d_](?![^\W_])")
+    #: Three or more letters or signs with spaces between.
+    _SIGN = rf"(?:[^\W_]|[{re.escape(''.join(LEET) + MASKS)}])"
+    _SPACED = re.compile(rf"(?<![^\W_])(?:{_SIGN} ){{2,}}{_SIGN}(?![^\W_])")
     _HYPHENED = re.compile(r"(?<![^\W_])[^\W\d_]{1,8}(?:[-.][^\W\d_]{1,8})+(?![^\W_])")
     _WORD = re.compile(r"[^\s.,;:?\"“”()\[\]{}<>/\\=&]+")
     _ODD = re.compile(r"([^\W\d_])\1\1", re.I)
 
     #: A letter beside a sign that may stand for one, a letter thrice, or letters set apart: only then is there anything to restore.
     _SUSPECT = re.compile(r"[a-zA-Z][0-9@$!|+*#%_~(-]|[0-9@$!|+*#%~][a-zA-Z]|([a-zA-Z])\1\1|[a-zA-Z][ .][a-zA-Z][ .]|[a-zA-Z]\.[a-zA-Z]")
-    _INVISIBLE = re.compile("[" + "".join(re.escape(chr(c)) for c in range(0x10000) if unicodedata.category(chr(c)) == "Cf") + "]")
+    _INVISIBLE = re.compile("[" + "".join(re.escape(chr(c)) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cf") + "]")
 
     def restore(self, text: str) -> str:
         """The text with disguised words restored, folded to lower case without marks; other words stay."""
         if text.isascii():
-            if not self._SUSPECT.search(text):
+            if not self._SUSPECT.search(text) and not self._SPACED.search(text):
                 return text.lower()
         else:
             text = self._INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
+        text = self._SPACED.sub(self._spaced, text)
         text = self._APART.sub(lambda m: self.decode("".join(c for c in m[0] if c.isalpha())), text)
         text = self._HYPHENED.sub(self._joined, text)
         return self._WORD.sub(self._remembered, text)
@@ -204,6 +226,16 @@ class Deobfuscator:
             self.folded[word] = got
         return got
 
+    def _spaced(self, m: re.Match) -> str:
+        """Joined if the language model finds the reading likely, with or without a first word of one letter."""
+        signs = m[0].split(" ")
+        if not any(c.isalpha() for c in signs):
+            return m[0]
+        parts = [("", signs)] + ([(signs[0] + " ", signs[1:])] if len(signs) > 3 and signs[0].lower() in "aiu" else [])
+        reads = [(before, self.decode("".join(part))) for before, part in parts]
+        cost, text = min((self.model.word_cost(read) / (len(read) + 1), before + read) for before, read in reads)
+        return text if cost < 2.2 else m[0]
+
     def _joined(self, m: re.Match) -> str:
         whole = re.sub(r"[-.]", "", m[0]).lower()
         return whole if whole in self.known else m[0]
@@ -217,7 +249,7 @@ class Deobfuscator:
         latin = any(c.isascii() for c in letters)
         foreign = latin and any(c.lower() in LOOKALIKES for c in letters)
         odd = self._ODD.search(core) is not None
-        if not (signs or foreign or odd) or len(core) > 40:
+        if not (signs or foreign or odd):
             return w
         if signs and not foreign and not odd and core.replace("-", "").replace("_", "").isalnum() and (len(core) < 3 or "_" in core or "-" in core):
             return w

@@ -41,6 +41,23 @@ def test_disguises_are_undone(moderator):
         assert moderator.noise.restore(text) == text
 
 
+def test_more_disguises_are_undone(moderator):
+    for disguised, plain in (("s e x", "sex"), ("you are a p i g", "you are a pig"), ("r a t", "rat"), ("1 d 1 0 t", "idiot"), ("idi" + "o" * 60 + "t", "idiot"), ("id\U000e0061iots", "idiots"), ("w*******s", "worthless")):
+        assert moderator.noise.restore(disguised) == plain, disguised
+    for text in ("platforms a b c", "stops 1 2 3", "lines x y z", "gates a 1 2"):
+        assert moderator.noise.restore(text) == text
+
+
+def test_search_without_beam_finds_the_cheapest(moderator, monkeypatch):
+    exact = m.Deobfuscator(m.vocabulary(["worthless idiots and parasites"]))
+    monkeypatch.setattr(m.Deobfuscator, "BEAM", 1)
+    narrow = m.Deobfuscator(m.vocabulary(["worthless idiots and parasites"]))
+    for word in ("w0rth***s", "1d10t5", "p4r**!tes"):
+        steps = [(exact.options(c), 1, c in m.MASKS) for c in word]
+        _, best, whole = exact._search(steps, float("inf"), None)
+        assert whole and exact.decode(word) == narrow.decode(word) == best
+
+
 def test_categories(moderator):
     assert categories(moderator, "You are a useless 1d10t, go to hell.") == ["abusive"]
     assert categories(moderator, "Tessalians are v e r m i n and should be deported.") == ["hateful"]
