@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -128,8 +129,18 @@ class StructuralIndex:
         same = self.keyed[slots] & (b - a == len(want) + 1) & (t.at(a) == QUOTE)
         for i, c in enumerate(want):
             same &= t.at(a + 1 + i) == c
+        if len(self.backslashes):
+            longer = np.flatnonzero(self.keyed[slots] & (b - a > len(want) + 1) & (t.at(a) == QUOTE))
+            escaped = np.searchsorted(self.backslashes, b[longer]) > np.searchsorted(self.backslashes, a[longer])
+            for i in longer[escaped]:
+                same[i] = _loads(self.text(a[i], b[i])) == name
         return same
 
+    @cached_property
+    def backslashes(self) -> np.ndarray:
+        """Where the text has a backslash."""
+        return np.flatnonzero(self.t.data == BACKSLASH)
+
     def text(self, first: int, last: int) -> str:
         return self.t.data[first : last + 1].tobytes().decode()
 

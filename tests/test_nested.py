@@ -97,3 +97,15 @@ def test_deep_nesting():
     for i in range(200):
         text = f'{{"id": {i}, "redirect": [{text}]}}'
     assert len(found(f'{{"redirect": {text}}}')) == 201
+
+
+def test_escaped_keys_are_recognised():
+    top = CATALOG_KINDS.top[0]
+    kind, inner = next((k, names[0]) for k, names in CATALOG_KINDS.within.items() if names and k in CATALOG_KINDS.top)
+    plain = json.dumps({"note": "a\\b", top: {"x": 1}, kind: {"y": "q\"", inner: {"z": 2}}})
+    escaped = plain
+    for name in {top, kind, inner}:
+        escaped = escaped.replace(f'"{name}"', f'"\\u{ord(name[0]):04x}{name[1:]}"')
+    assert escaped != plain and json.loads(escaped) == json.loads(plain)
+    want, got = (extract_nodes(pa.array([t, '{"a\\"b": 1}'])) for t in (plain, escaped))
+    assert len(want["kind"]) >= 2 and {k: list(v) for k, v in want.items()} == {k: list(v) for k, v in got.items()}
