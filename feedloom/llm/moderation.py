@@ -1,436 +1,383 @@
 """Abusive, hateful and sexual content scored.
 
-Noisy-channel deobfuscation first: words that look disguised (digits and signs for letters, masked or repeated letters, letters
-set apart, letters of another script) span a lattice of what each character may stand for, and a Viterbi search under a character
-language model picks the likeliest reading. The restored sentences are then scored by weighted cues and by a classifier fitted
-on the labelled examples.
+Noisy-channel deobfuscation first (``lattice``): disguised words are decoded by a Viterbi search under a character language model.
+The restored sentences are then scored by a log-linear model over their words, pairs of words and classes of meaning
+(``lexicon``), which starts from the prior weights of the classes and is fitted on labelled rows. It is fitted once, on the driver,
+and every sentence of every text is scored by it.
 """
 
 from __future__ import annotations
 
-import math
 import re
-import sys
-import unicodedata
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .fold import PLAIN_LETTERS
-from .prefilter import Expressions
+from . import lexicon
+from .lattice import LEET, LOOKALIKES, MASKS, Lattice, plain, visible
 
 CATEGORIES = ("abusive", "hateful", "sexual")
-#: Most labelled rows that the classifier and the language model are fitted on.
+#: Most labelled rows that the models are fitted on, the ones of the smallest ids, and most names of peoples' countries.
 EXAMPLE_ROWS = 20_000
-#: Score from which a category counts as present.
-THRESHOLD = 1.0
-
-# What signs, digits and foreign letters may stand for.
-LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¡": "i"}
-LOOKALIKES = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j", "ԁ": "d", "һ": "h", "ӏ": "l", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "г": "r", "α": "a", "ο": "o", "ε": "e", "ι": "i", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "κ": "k", "ӓ": "a", "ɑ": "a", "ı": "i"}
-MASKS = "*#%_•·~"
-# Words for insults, by language.
-INSULTS = """idiot idiots moron morons imbecile imbeciles scumbag scumbags bastard bastards jackass jackasses jackasss halfwit halfwits creep creeps
-loser losers coward cowards pig pigs clown clowns cow dimwit dimwits fool fools jerk jerks asshole assholes arsehole bitch bitches wanker dickhead prick
-retard retards cretin cretins dumbass douchebag douche tosser twat cunt whore slut sucker suckers nitwit buffoon dunce dolt lowlife weasel rat worm trash garbage filth
-idiota idiotas imbecil imbeciles estupido estupida cabron gilipollas pendejo payaso imbecile cretino burro otario canalha palhaco
-vollidiot idioten trottel depp arschloch schwachkopf dummkopf wichser mistkerl drecksau
-imbeciles connard connards cretin abruti debile salaud ordure batard
-идиот идиоты дебил дурак тварь ублюдок мразь козел""".split()
-SLURS = """stupid disgusting pathetic worthless useless brainless spineless miserable lazy filthy incompetent ugly dumb rotten vile despicable idiotic moronic
-braindead brain-dead lying damn damned fucking bloody sodding inutil inutiles damlicher dreckiger verdammter sale stupide minable""".split()
-THREATS = [
-    r"break your (?:jaw|neck|legs|nose|face|arms|bones)", r"knock (?:his|her|your|their) teeth", r"find out where you live", r"know (?:where you live|which shift you work)", r"(?:own|bring|got|have) a (?:crowbar|knife|gun|bat)\b",
-    r"you will (?:bleed|die|pay|suffer|regret)", r"go (?:drown|hang|kill|fuck) yourself", r"kill yourself", r"jump in front of", r"should (?:slap|punch|beat|shoot|kick|hit|hang|strangle|smack) (?:him|her|you|them)", r"need an ambulance",
-    r"choke on", r"\bhopes? (?:he|she|you|they|it) (?:rots?|dies?|burns?|chokes?)", r"crawl back", r"go to hell", r"rot in hell", r"eat (?:dirt|shit)", r"burn (?:your|his|her|their)\b.{0,30}\bdown", r"(?:i will|i'll|ill|gonna|going to) (?:kill|hurt|beat|smash|stab|shoot|strangle|hit|punch) (?:you|him|her)",
-    r"shut (?:up|your)", r"get lost", r"waste of (?:oxygen|space|air|skin)", r"piece of (?:garbage|shit|crap|trash|filth|dirt)", r"pack of\b", r"ugly as your mother", r"nobody (?:likes|loves|wants) you", r"drop dead", r"beat (?:you|him|her) (?:up|to)",
-    r"te atropelle", r"ojala te", r"te voy a (?:matar|romper|partir|pegar)", r"callate", r"vete a la mierda", r"cala a boca", r"vou te (?:matar|bater|partir|quebrar)", r"vai te foder", r"parto te a cara",
-    r"ferme[ -]la", r"ta gueule", r"casse la (?:figure|gueule)", r"va te faire", r"creve\b", r"halt die (?:klappe|fresse)", r"schlag dich", r"ich (?:bring|schlag|mach) dich", r"fahr zur holle", r"verpiss dich",
-    r"заткнись", r"убью", r"сдохни", r"死ね", r"殺すぞ", r"馬鹿野郎",
-]
-GROUP_NOUNS = r"foreigners?|immigrants?|migrants?|refugees?|asylum seekers?|muslims?|jews?|christians?|hindus?|gypsies|gypsy|blacks|whites|gays|lesbians|women|natives|extranjeros|inmigrantes|etrangers|immigres|auslander|fluchtlinge|estrangeiros|imigrantes|иностранцы|мигранты|外国人"
-DEHUMANISE = [
-    r"\b(?:are|is|they re|as|like|of) (?:all )?(?:\w+ ){0,2}(?:vermin|parasites?|rats|cockroaches|animals|pests?|scum|filth|plague|disease|subhumans?|thieves|criminals|leeches|savages|garbage|trash|lice|apes|monkeys|pigs|dogs)\b", r"less than human", r"\bsubhumans?\b", r"inferior (?:blood|race|people|breed)", r"breed like",
-    r"round (?:up|them up)\b.{0,60}", r"get rid of (?:them|all)", r"(?:cattle|freight) wagon", r"(?:world|city|country|town|place) would be (?:cleaner|better|safer) without", r"(?:ought to|should|must) (?:all )?be (?:deported|thrown|expelled|shot|gassed|hanged|removed|exterminated|driven out|locked up)",
-    r"not brake for", r"\bkeep .{2,40} out of\b", r"refuse to sit next to", r"(?:do|does) not belong here", r"was safe until they let", r"no decent person", r"spit on them", r"beat them\b", r"(?:send|ship|kick) (?:them|them all) (?:back|out|home)", r"go back to (?:your|their) (?:country|own)", r"deserve a seat", r"born (?:thieves|criminals|liars)", r"wipe (?:them )?out", r"\bexterminate",
-    r"vermine", r"\bdehors\b", r"\bratas\b", r"echarlos", r"\bparasitos\b", r"\bescoria\b", r"\bplaga\b", r"fuera (?:los|todos)", r"\bungeziefer\b", r"\braus\b", r"\bratten\b", r"\babschaum\b", r"untermensch", r"\bratos\b", r"\bpragas?\b", r"expulsar", r"\bpraga\b", r"\bparasites\b", r"\bvermin\b", r"\bracaille\b", r"\bparasiten\b", r"паразит", r"крыс", r"害虫", r"ゴキブリ",
-]
-#: Cues that are hateful whoever is meant.
-HATE_ALONE = [r"\bsubhuman", r"inferior (?:blood|race)", r"(?:cattle|freight) wagon at", r"anyone who marries one", r"untermensch", r"round up all\b.{0,80}get rid of"]
-SEXUAL = [
-    (1.0, r"\bporn\w*"), (1.0, r"\bnudes?\b"), (1.0, r"\bxxx\b"), (1.0, r"\bescorts?\b"), (1.0, r"\btopless\b"), (1.0, r"\bpanties\b"), (1.0, r"\bhorny\b"), (1.0, r"\bhook ?ups?\b"), (1.0, r"\bblow ?jobs?\b"), (1.0, r"\bmasturbat\w*"), (1.0, r"\borgasms?\b"), (1.0, r"\bgrop(?:e|ed|ing)\b"), (1.0, r"\bfuck (?:me|you|her|him) (?:hard|all)"), (1.0, r"\bcum\b"), (1.0, r"\bdick pics?\b"), (1.0, r"\berotic\w*"),
-    (1.0, r"\bsex (?:videos?|tapes?|chat|cams?|toys?|shows?|in|tonight|with|pics|now)\b"), (1.0, r"\b(?:just|want|have|having|for|hot|dirty|wild|rough|casual|anal|oral|free) sex\b"), (1.0, r"\bsexo\b"), (1.0, r"\bsexe\b"), (1.0, r"\bdesnud[ao]s?\b"), (1.0, r"\btoi nue\b"), (1.0, r"\bnacktbild\w*"), (1.0, r"\bnackt\w*\b.{0,60}\bsex\b"), (1.0, r"\bich will\b.{0,30}\bsex\b"), (1.0, r"\bpelad[ao]s?\b"), (1.0, r"\bnudes\b"), (1.0, r"\bcachond[ao]\b"), (1.0, r"\btesao\b"), (1.0, r"\bgeil\b"), (1.0, r"\bfotos? nu[ae]s?\b"), (1.0, r"\bquero sexo\b"),
-    (0.6, r"\bstripp(?:ing|er)s?\b"), (0.6, r"\bnaked\b"), (0.6, r"\buncensored\b"), (0.6, r"\bcondoms?\b"), (0.6, r"\blube\b"), (0.6, r"\bno strings\b"), (0.6, r"\bhot girls\b"), (0.6, r"\bfilthy night\b"), (0.6, r"\bseeks (?:a )?third\b"), (0.6, r"\bsee you\b"), (0.6, r"\bturned on\b"), (0.6, r"\bundressed\b"), (0.6, r"\bon your knees\b"), (0.6, r"\bmoan(?:ed|ing|s)?\b"), (0.6, r"\bin bed\b"), (0.6, r"\bgreat (?:ass|tits|boobs|butt)\b"), (0.6, r"\bride me\b"), (0.6, r"\binto (?:his|her|my) (?:pants|panties|bra|trousers|skirt)\b"), (0.6, r"\b(?:he|she) came before\b"), (0.6, r"\b(?:tits|boobs|cock|pussy|nipples|penis|vagina|genitals)\b"), (0.6, r"\bcams\b"), (0.6, r"\bwet amateur\b"), (0.6, r"\blick(?:ing|ed)?\b"), (0.6, r"\bsexy\b"), (0.6, r"\bthighs?\b"), (0.6, r"\blingerie\b"),
-]
-#: Words by which a sentence reports or forbids such conduct.
-REPORTING = re.compile(r"\b(?:not tolerated|will be reported|was reported|were reported|police|complaints? (?:about|of)|reported (?:that|to)|is forbidden|are forbidden|prohibited|zero tolerance|asked for recordings|policy|code of conduct|moderators? (?:removed|deleted)|exhibition|survey|annex|training (?:on|against)|pest control|vermin control|parade|campaign against|rules? (?:against|on)|witness(?:es)?|hotline|victims? of)\b")
+#: Probability from which a category counts as present.
+THRESHOLD = 0.5
+#: Texts that are scored at once.
+TEXTS_AT_ONCE = 500
+#: Most words that a task remembers.
+REMEMBERED = 1_000_000
+
 #: A shouted word within a sentence, and lines that go on.
 _SHOUT = re.compile(r"\b([A-Z]{2,})!+(?=\s*[a-z]|\s+[A-Z]{2,})")
 _WRAPPED = re.compile(r"[ \t]*\n(?:> ?)?(?=[ \t]*[a-zà-ÿ])|\n> ?")
-SENTENCES = re.compile(r"(?<=[.!?。！？])[\"”’)]*\s+|\n+")
-
+SENTENCES = re.compile(r"(?<=[.!?。！？])[\"”’)]*\s+|(?<=[。！？])|\n+")
+_WORDS = re.compile(r"[^\W_]+")
+_PARTS = re.compile(r"[^\w@$!|+*#%~€£¡•·.’'–-]+")
+_FRAMES = "!.-–—'’*_~+|#"
+_APART = re.compile(r"(?:[^\W_]|[" + re.escape("".join(LEET) + MASKS) + r"])(?:[.\-_*·•]{1,2}(?:[^\W_]|[" + re.escape("".join(LEET) + MASKS) + r"])){2,}")
+_PIECES = re.compile(r"[^\W\d_]{1,12}(?:[.-][^\W\d_]{1,12})+")
+_SIGNS = frozenset(LEET) | frozenset(MASKS)
+_TRIPLE = re.compile(r"([^\W\d_])\1\1")
+#: Three tokens of one sign each.
+_SINGLES = re.compile(r"(?:^|\s)\S\s\S\s\S(?:\W|$)")
+_UNSPACED = re.compile(r"[぀-ヿ一-鿿]")
+#: Bits besides the classes: the word is the longest of a phrase.
+_ANCHOR = 1 << 60
+_PERSON = lexicon.BITS["YOU"] | lexicon.BITS["HIM"] | lexicon.BITS["NAMED"] | lexicon.BITS["THAT"]
+_COUNTED = tuple(sorted({c[1:] for _, cs, _ in lexicon.PRIORS for c in cs.split() if c[0].isdigit()}))
+
+
+class Vocabulary:
+    """The classes of words and phrases."""
+
+    def __init__(self, groups: list[str]):
+        self.words: dict[str, int] = {}
+        self.stems: dict[str, int] = {}
+        phrases: dict[str, int] = {}
+        for name, entries in lexicon.CLASSES.items():
+            bit = lexicon.BITS[name]
+            for entry in filter(None, (e.strip() for e in entries.replace("\n", " ").split(","))):
+                words = _WORDS.findall(plain(entry))
+                if _UNSPACED.search(entry):
+                    phrases[plain(entry)] = phrases.get(plain(entry), 0) | bit
+                elif len(words) > 1:
+                    text = " " + " ".join(words) + ("" if entry.endswith("*") else " ")
+                    phrases[text] = phrases.get(text, 0) | bit
+                    anchor = max(words[:-1] if entry.endswith("*") else words, key=len)
+                    self.words[anchor] = self.words.get(anchor, 0) | _ANCHOR
+                else:
+                    held = self.stems if entry.endswith("*") else self.words
+                    held[words[0]] = held.get(words[0], 0) | bit
+        for g in groups:
+            names = _WORDS.findall(plain(g))
+            if names and len(names[0]) >= 4:
+                stem = names[0][: max(5, len(names[0]) - 3)]
+                self.stems[stem] = self.stems.get(stem, 0) | lexicon.NATION
+        self.countries = {w for g in groups for w in _WORDS.findall(plain(g))}
+        self.lengths = sorted({len(s) for s in self.stems})
+        self.automaton = ahocorasick.Automaton()
+        for text, mask in phrases.items():
+            self.automaton.add_word(text, (mask, text))
+        self.automaton.make_automaton()
+        self.phrases = phrases
+
+    def mask(self, word: str) -> int:
+        got = self.words.get(word, 0)
+        for n in self.lengths:
+            if n > len(word):
+                break
+            got |= self.stems.get(word[:n], 0)
+        if got & lexicon.NATION and word not in self.countries:
+            got |= lexicon.NATIONALS
+        if _UNSPACED.search(word):
+            got |= _ANCHOR
+        return got
 
-class CharModel:
-    """A character model of interpolated orders up to four, over words between limits."""
+    def found(self, words: list[str]) -> Iterator[int]:
+        """The classes of the phrases in a row of words, each phrase once."""
+        text = " " + " ".join(words) + " "
+        yield from {t: m for _, (m, t) in self.automaton.iter(text)}.values()
+
+    def language(self) -> Counter[str]:
+        """The words of the vocabulary for the language model; stems end in ``*``."""
+        out = Counter({w: 3 for w in self.words})
+        out.update({s + "*": 3 for s in self.stems})
+        for p in self.phrases:
+            out.update(dict.fromkeys(p.split(), 1))
+        return Counter({w: n for w, n in out.items() if w.rstrip("*").isascii() and w.rstrip("*").isalpha()})
+
+
+class Reader:
+    """Sentences and words of texts, restored and folded."""
+
+    def __init__(self, vocabulary: Vocabulary, words: Counter[str]):
+        self.vocabulary = vocabulary
+        language = vocabulary.language()
+        for w, n in words.items():
+            if w.isascii() and w.isalpha():
+                language[w] += n
+        self.known = {w for w in language if not w.endswith("*")}
+        self.lattice = Lattice(language)
+        self.memory: dict[str, tuple[str, ...]] = {}
+
+    def is_known(self, word: str) -> bool:
+        return word in self.known or bool(self.vocabulary.mask(word) & ~lexicon.NATION)
+
+    def sentences(self, text: str) -> list[list[str]]:
+        """The words of each sentence."""
+        out = []
+        for s in SENTENCES.split(_WRAPPED.sub(" ", _SHOUT.sub(r"\1", text))):
+            if s and (words := self.words(s)):
+                out.append(words)
+        return out
 
-    ORDER = 4
+    def words(self, sentence: str) -> list[str]:
+        memory = self.memory
+        tokens = sentence.split()
+        if _SINGLES.search(sentence):
+            tokens = self._spans(tokens)
+        out: list[str] = []
+        for t in tokens:
+            got = memory.get(t)
+            if got is None:
+                if len(memory) > REMEMBERED:
+                    memory.clear()
+                got = memory[t] = tuple(self._token(t))
+            out += got
+        return out
 
-    def __init__(self, words: Counter[str]):
-        self.counts: list[dict[str, float]] = [defaultdict(float) for _ in range(self.ORDER)]
-        self.totals: list[dict[str, float]] = [defaultdict(float) for _ in range(self.ORDER)]
-        for word, n in words.items():
-            text = "^^^" + word + "$"
-            for i in range(3, len(text)):
-                for k in range(self.ORDER):
-                    context = text[i - k : i]
-                    self.counts[k][context + text[i]] += n
-                    self.totals[k][context] += n
-        self.memory: dict[tuple[str, str], float] = {}
+    @staticmethod
+    def _spans(tokens: list[str]) -> list[str]:
+        """Three or more tokens of one sign each become one, with spaces."""
+        out: list[str] = []
+        run: list[str] = []
+
+        def close() -> None:
+            if len(run) >= 3 and any(c.isalpha() for c in run):
+                out.append(" ".join(run))
+            else:
+                out.extend(run)
+            run.clear()
+
+        for t in tokens:
+            bare = t.strip(".,;:!?\"“”()") if len(t) > 1 else t
+            if len(bare) == 1 and (bare.isalnum() or bare in _SIGNS):
+                run.append(bare)
+                if t[-1] in ".,;:!?)":
+                    close()
+            else:
+                close()
+                out.append(t)
+        close()
+        return out
 
-    def cost(self, context: str, char: str) -> float:
-        got = self.memory.get((context, char))
-        if got is None:
-            p = 1 / 60
-            for k in range(self.ORDER):
-                c = context[len(context) - k :] if k else ""
-                n = self.totals[k].get(c, 0.0)
-                if n:
-                    weight = n / (n + (0.5, 1.0, 1.0, 0.5)[k])
-                    p = (1 - weight) * p + weight * self.counts[k].get(c + char, 0.0) / n
-            got = self.memory[(context, char)] = -math.log(max(p, 1e-9))
-        return got
+    def _token(self, token: str) -> list[str]:
+        if " " in token:
+            read = self.lattice.read(plain(token))
+            return _WORDS.findall(read if read is not None else token.lower())
+        out: list[str] = []
+        for part in _PARTS.split(visible(token)):
+            mixed = not part.isascii() and any(c.lower() in LOOKALIKES for c in part) and any(c.isascii() and c.isalpha() for c in part)
+            folded = plain(part).strip(_FRAMES)
+            if folded:
+                read = self._restored(folded, mixed)
+                out += _WORDS.findall(folded if read is None else read)
+        return out
 
-    def word_cost(self, word: str) -> float:
-        context, total = "^^^", 0.0
-        for c in word + "$":
-            total += self.cost(context, c)
-            context = context[1:] + c
-        return total
-
-
-class Deobfuscator:
-    """Viterbi decoding of disguised words; ``words`` with their weights feed the language model."""
-
-    BEAM = 60
-    #: Cost of taking a sign for a letter, of dropping one, of a masked letter, of keeping a sign as it is.
-    SWAP, DROP, MASKED, KEEP = 0.7, 1.2, 0.4, 4.0
-
-    def __init__(self, words: Counter[str]):
-        self.model = CharModel(words)
-        self.known = {w for w, n in words.items() if n}
-        self.memory: dict[str, str] = {}
-        self.folded: dict[str, str] = {}
-
-    def options(self, c: str) -> list[tuple[str, float]]:
-        """What a character may stand for, with costs; '' drops it."""
-        low = c.lower()
-        if low in LOOKALIKES:
-            return [(LOOKALIKES[low], 0.2)]
-        plain = unicodedata.normalize("NFKD", low)
-        plain = "".join(x for x in plain if not unicodedata.combining(x)).translate(PLAIN_LETTERS)
-        if plain.isalpha():
-            return [(plain[0], 0.0)]
-        out = [(x, self.SWAP) for x in LEET.get(c, "")]
-        if c in MASKS:
-            out += [(x, self.MASKED) for x in "abcdefghijklmnopqrstuvwxyz"]
-        if not c.isdigit():
-            out.append(("", self.DROP))
-        return [*out, (c, self.KEEP)]
-
-    def decode(self, word: str) -> str:
+    def _restored(self, w: str, mixed: bool) -> str | None:
+        """The reading of a folded part if it looks disguised and the reading is likely."""
+        if not any(c.isalpha() for c in w):
+            return None
+        if _APART.fullmatch(w):
+            return self.lattice.read(w)
+        if _PIECES.fullmatch(w):
+            read = self.lattice.read(w)
+            return read if read and all(self.is_known(x) for x in read.split()) else None
+        signs = any(c in _SIGNS for c in w)
+        if mixed or _TRIPLE.search(w):
+            return self.lattice.read(w)
+        if signs and len(w) >= 3 and "_" not in w and "-" not in w and not re.fullmatch(r"\d+[a-z]{1,2}|[a-z]{1,2}\d+", w):
+            return self.lattice.read(w)
+        return None
+
+
+class Features:
+    """What the model sees of sentences: classes that hold, words and pairs of words that the fitting saw twice or more."""
+
+    def __init__(self, vocabulary: Vocabulary, sentences: list[list[str]]):
+        self.vocabulary = vocabulary
+        words = Counter(w for s in sentences for w in set(s))
+        pairs = Counter(p for s in sentences for p in set(zip(s, s[1:], strict=False)))
+        self.index = {w: i for i, w in enumerate(sorted(w for w, n in words.items() if n >= 2))}
+        codes = sorted(self.index[a] * len(self.index) + self.index[b] for (a, b), n in pairs.items() if n >= 2)
+        self.codes = np.array(codes, np.int64)
+        self.conditions = list(dict.fromkeys(c for _, c, _ in lexicon.PRIORS))
+        self.width = len(self.conditions) + len(self.index) + len(self.codes)
+        self.memory: dict[str, tuple[int, int]] = {}
+
+    def _word(self, word: str) -> tuple[int, int]:
         got = self.memory.get(word)
-        if got is not None:
-            return got
-        # of a run of one letter one or two may stand
-        runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", word.lower(), re.S)]
-        # a mask stands for as many letters as it has signs; other runs for one or two
-        steps = [(self.options(c), n, c in MASKS) for c, n in runs for _ in range(n if c in MASKS else 1)]
-        cost, best, whole = self._search(steps, math.inf, self.BEAM)
-        if not whole:
-            # again without the beam: what costs more than the reading found can't lead to a better one
-            again = self._search(steps, cost, None)
-            best = again[1] if again[0] < cost else best
-        if len(self.memory) > 200_000:
-            self.memory.clear()
-        self.memory[word] = best
-        return best
-
-    def _search(self, steps: list[tuple[list[tuple[str, float]], int, bool]], most: float, beam: int | None) -> tuple[float, str, bool]:
-        """(cost, text) of the cheapest reading that costs at most ``most``, and whether no context was left out for the beam."""
-        rest = [0.0]
-        for options, _, _ in reversed(steps):
-            rest.append(rest[-1] + min(price for _, price in options))
-        states: dict[str, tuple[float, str]] = {"^^^": (0.0, "")}
-        whole = True
-        for at, (options, n, mask) in enumerate(steps, 1):
-            limit = most - rest[len(steps) - at]
-            new: dict[str, tuple[float, str]] = {}
-            for context, (cost, text) in states.items():
-                for x, price in options:
-                    repeats = (1,) if n == 1 or mask or not x else (1, 2)
-                    for times in repeats:
-                        ctx, total = context, cost + price
-                        for _ in range(times):
-                            if x:
-                                total += self.model.cost(ctx, x)
-                                ctx = ctx[1:] + x
-                        if n > 2 and times == 2:
-                            total += 0.3
-                        if total <= limit and (ctx not in new or total < new[ctx][0]):
-                            new[ctx] = (total, text + x * times)
-            if beam and len(new) > beam:
-                whole = False
-                new = dict(sorted(new.items(), key=lambda kv: kv[1][0])[:beam])
-            states = new
-        cost, text = min(((cost + self.model.cost(ctx, "$"), text) for ctx, (cost, text) in states.items()), default=(math.inf, ""))
-        return cost, text, whole
-
-    #: Letters set apart: single ones with the same spaces or signs between.
-    _APART = re.compile(r"(?<![^\W_])(?:[^\W\d_](?:[ ]|[-._*]{1,2})){3,}[^\W\d_](?![^\W_])")
-    #: Three or more letters or signs with spaces between.
-    _SIGN = rf"(?:[^\W_]|[{re.escape(''.join(LEET) + MASKS)}])"
-    _SPACED = re.compile(rf"(?<![^\W_])(?:{_SIGN} ){{2,}}{_SIGN}(?![^\W_])")
-    _HYPHENED = re.compile(r"(?<![^\W_])[^\W\d_]{1,8}(?:[-.][^\W\d_]{1,8})+(?![^\W_])")
-    _WORD = re.compile(r"[^\s.,;:?\"“”()\[\]{}<>/\\=&]+")
-    _ODD = re.compile(r"([^\W\d_])\1\1", re.I)
-
-    #: A letter beside a sign that may stand for one, a letter thrice, or letters set apart: only then is there anything to restore.
-    _SUSPECT = re.compile(r"[a-zA-Z][0-9@$!|+*#%_~(-]|[0-9@$!|+*#%~][a-zA-Z]|([a-zA-Z])\1\1|[a-zA-Z][ .][a-zA-Z][ .]|[a-zA-Z]\.[a-zA-Z]")
-    _INVISIBLE = re.compile("[" + "".join(re.escape(chr(c)) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cf") + "]")
-
-    def restore(self, text: str) -> str:
-        """The text with disguised words restored, folded to lower case without marks; other words stay."""
-        if text.isascii():
-            if not self._SUSPECT.search(text) and not self._SPACED.search(text):
-                return text.lower()
-        else:
-            text = self._INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
-        text = self._SPACED.sub(self._spaced, text)
-        text = self._APART.sub(lambda m: self.decode("".join(c for c in m[0] if c.isalpha())), text)
-        text = self._HYPHENED.sub(self._joined, text)
-        return self._WORD.sub(self._remembered, text)
-
-    def _remembered(self, m: re.Match) -> str:
-        word = m[0]
-        got = self.folded.get(word)
         if got is None:
-            got = unicodedata.normalize("NFKD", self._word(word).lower())
-            got = "".join(c for c in got if not unicodedata.combining(c)).translate(PLAIN_LETTERS).replace("’", "'")
-            if len(self.folded) > 500_000:
-                self.folded.clear()
-            self.folded[word] = got
+            if len(self.memory) > REMEMBERED:
+                self.memory.clear()
+            got = self.memory[word] = (self.vocabulary.mask(word), self.index.get(word, -1))
         return got
 
-    def _spaced(self, m: re.Match) -> str:
-        """Joined if the language model finds the reading likely, with or without a first word of one letter."""
-        signs = m[0].split(" ")
-        if not any(c.isalpha() for c in signs):
-            return m[0]
-        parts = [("", signs)] + ([(signs[0] + " ", signs[1:])] if len(signs) > 3 and signs[0].lower() in "aiu" else [])
-        reads = [(before, self.decode("".join(part))) for before, part in parts]
-        cost, text = min((self.model.word_cost(read) / (len(read) + 1), before + read) for before, read in reads)
-        return text if cost < 2.2 else m[0]
-
-    def _joined(self, m: re.Match) -> str:
-        whole = re.sub(r"[-.]", "", m[0]).lower()
-        return whole if whole in self.known else m[0]
-
-    def _word(self, w: str) -> str:
-        core = w.strip("!-–—'’*_~")
-        letters = [c for c in core if c.isalpha()]
-        if not letters:
-            return w
-        signs = any(c in LEET or c in MASKS for c in core)
-        latin = any(c.isascii() for c in letters)
-        foreign = latin and any(c.lower() in LOOKALIKES for c in letters)
-        odd = self._ODD.search(core) is not None
-        if not (signs or foreign or odd):
-            return w
-        if signs and not foreign and not odd and core.replace("-", "").replace("_", "").isalnum() and (len(core) < 3 or "_" in core or "-" in core):
-            return w
-        read = self.decode(core)
-        # a reading must be likelier for its length than chance
-        return read if foreign or self.model.word_cost(read) / (len(read) + 1) < 2.2 else core
-
-
-def vocabulary(examples: list[str]) -> Counter[str]:
-    """Weighted words for the language model: the cues' own and those of the labelled examples."""
-    words: Counter[str] = Counter()
-    for text in examples:
-        words.update(set(re.findall(r"[a-z]+", _plain(text))))
-    cues = " ".join([*THREATS, *DEHUMANISE, *[c for _, c in SEXUAL]])
-    for w in re.findall(r"[a-z]{3,}", re.sub(r"\\.|\?:|\{[^}]*\}", " ", cues)):
-        words[w] += 10
-    for w in (*INSULTS, *SLURS):
-        words[_plain(w)] += 10
-        words[_plain(w).replace("-", "")] += 2
-    for w in "sex porn nudes naked horny parasites parasite vermin rats filthy animals garbage worthless deported foreigners subhuman inferior escorts panties stripping".split():
-        words[w] += 20
-    return Counter({w: n for w, n in words.items() if w.isascii()})
-
-
-def _plain(text: str) -> str:
-    text = unicodedata.normalize("NFKD", text.lower())
-    return "".join(c for c in text if not unicodedata.combining(c)).translate(PLAIN_LETTERS)
-
-
-class Classifier:
-    """Logistic regression per category on words and pairs of words of sentences, by gradient steps on all examples."""
-
-    def __init__(self, sentences: list[tuple[str, str]], steps: int = 300, rate: float = 2.0, decay: float = 1e-3):
-        names = Counter(f for s, _ in sentences for f in set(self.features(s)))
-        self.index = {f: i for i, f in enumerate(sorted(f for f, n in names.items() if n >= 2))}
-        x = np.zeros((len(sentences), len(self.index) + 1))
-        x[:, -1] = 1
-        for r, (s, _) in enumerate(sentences):
-            for f in set(self.features(s)):
-                if f in self.index:
-                    x[r, self.index[f]] = 1
-        x[:, :-1] /= np.sqrt(np.maximum(x[:, :-1].sum(1, keepdims=True), 1))
-        words = [f for f in self.index if " " not in f]
-        self.words = {w: i for i, w in enumerate(words)}
-        self.singles = np.array([self.index[w] for w in words], np.int64)
-        # the words of a known pair are known; a pair is looked up by their numbers
-        pairs = sorted((self.words[a] * len(words) + self.words[b], i) for f, i in self.index.items() if " " in f for a, b in [f.split(" ")])
-        self.pair_codes, self.pairs = np.array(pairs, np.int64).reshape(-1, 2).T
-        self.weights = np.zeros((len(CATEGORIES), x.shape[1]))
-        for k, c in enumerate(CATEGORIES):
-            y = np.array([label == c for _, label in sentences], float)
-            w = self.weights[k]
-            for _ in range(steps if len(sentences) else 0):
-                p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-                w -= rate * (x.T @ (p - y) / max(len(y), 1) + decay * w)
-
-    @staticmethod
-    def features(sentence: str) -> list[str]:
-        words = re.findall(r"[^\W\d_]+", sentence)
-        return [*words, *[f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]]
-
-    def probabilities(self, sentences: list[str]) -> np.ndarray:
-        """A row for each sentence, a column for each category."""
-        split = [re.findall(r"[^\W\d_]+", s) for s in sentences]
-        ids = np.array([self.words.get(w, -1) for ws in split for w in ws], np.int64)
-        owner = np.repeat(np.arange(len(split)), [len(ws) for ws in split])
+    def of(self, sentences: list[list[str]], texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sentence, feature) of each feature that holds, each once; ``texts``: the text of each sentence, in order."""
+        n = len(sentences)
+        sizes = np.array([len(s) for s in sentences], np.int64)
+        looked = np.array([self._word(w) for s in sentences for w in s], np.int64).reshape(-1, 2)
+        masks, ids = looked[:, 0], looked[:, 1]
+        owner = np.repeat(np.arange(n), sizes)
+        held = np.bitwise_or.reduceat(masks, np.cumsum(sizes) - sizes) if n else np.zeros(0, np.int64)
+        counts = {c: np.bincount(owner[(masks & lexicon.BITS[c]) != 0], minlength=n) for c in _COUNTED}
+        for i in np.flatnonzero(held & _ANCHOR):
+            for m in self.vocabulary.found(sentences[i]):
+                held[i] |= m
+                for c in _COUNTED:
+                    counts[c][i] += (m & lexicon.BITS[c]) != 0
+        group = lexicon.BITS["GROUP"]
+        named = ((held & lexicon.NATIONALS) != 0) | (((held & lexicon.NATION) != 0) & ((held & lexicon.BITS["PEOPLE"]) != 0))
+        held = held | np.where(named, group, 0)
+        before = np.zeros(n, np.int64)
+        before[1:] = np.where(texts[1:] == texts[:-1], held[:-1], 0)
+        holds = {name: (held & bit) != 0 for name, bit in lexicon.BITS.items()}
+        holds["PERSON"] = (held & _PERSON) != 0
+        said = holds["BEAST"] | holds["EXPEL"] | holds["LESS"]
+        holds["HATED"] = holds["SLUR"] | said & (holds["GROUP"] | ((before & group) != 0))
+        rows, columns = [], []
+        for k, condition in enumerate(self.conditions):
+            good = np.ones(n, bool)
+            for c in condition.split():
+                if c[0].isdigit():
+                    good &= counts[c[1:]] >= int(c[0])
+                elif c.endswith("<"):
+                    good &= (before & lexicon.BITS[c[:-1]]) != 0
+                    good &= ~holds[c[:-1]]
+                else:
+                    good &= holds[c]
+            at = np.flatnonzero(good)
+            rows.append(at)
+            columns.append(np.full(len(at), k))
         known = ids >= 0
+        rows.append(owner[known])
+        columns.append(len(self.conditions) + ids[known])
         both = known[:-1] & known[1:] & (owner[:-1] == owner[1:])
-        codes = (ids[:-1] * len(self.words) + ids[1:])[both]
-        place = np.searchsorted(self.pair_codes, codes)
-        hit = np.searchsorted(self.pair_codes, codes, "right") > place
-        features = np.concatenate([self.singles[ids[known]], self.pairs[place[hit]]])
-        width = self.weights.shape[1]
-        rows, own = np.divmod(np.unique(np.concatenate([owner[known], owner[:-1][both][hit]]) * width + features), width)
-        n = np.maximum(np.bincount(rows, minlength=len(split)), 1)
-        z = np.stack([np.bincount(rows, w[own], len(split)) / np.sqrt(n) + w[-1] for w in self.weights], axis=1)
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        pair = (ids[:-1] * len(self.index) + ids[1:])[both]
+        place = np.searchsorted(self.codes, pair)
+        hit = np.searchsorted(self.codes, pair, "right") > place
+        rows.append(owner[:-1][both][hit])
+        columns.append(len(self.conditions) + len(self.index) + place[hit])
+        row, column = np.divmod(np.unique(np.concatenate(rows) * self.width + np.concatenate(columns)), self.width)
+        return row, column
+
+
+class Model:
+    """A logistic model of each category, fitted by maximum posterior: the weights of classes stay near their prior, those of words
+    and pairs near 0."""
+
+    #: Inverse variances of the priors of classes, of words and pairs, and of the bias.
+    NEAR, NARROW, FIRM = 1.0, 4.0, 4.0
+
+    def __init__(self, features: Features):
+        self.features = features
+        self.prior = np.zeros((len(CATEGORIES), features.width + 1))
+        self.prior[:, -1] = lexicon.BIAS
+        for category, condition, weight in lexicon.PRIORS:
+            self.prior[CATEGORIES.index(category), features.conditions.index(condition)] = weight
+        self.weights = self.prior.copy()
+
+    def logits(self, row: np.ndarray, column: np.ndarray, n: int) -> np.ndarray:
+        return np.stack([np.bincount(row, w[column], n) + w[-1] for w in self.weights], axis=1)
+
+    def fit(self, row: np.ndarray, column: np.ndarray, labels: np.ndarray, steps: int = 250, rate: float = 0.05) -> None:
+        """``labels``: 0 or 1 for each sentence and category."""
+        n, width = len(labels), self.features.width
+        pull = np.full(width + 1, self.NARROW)
+        pull[: len(self.features.conditions)], pull[-1] = self.NEAR, self.FIRM
+        self.weights = self.prior.copy()
+        first, second = np.zeros_like(self.weights), np.zeros_like(self.weights)
+        for t in range(1, steps + 1):
+            off = 1 / (1 + np.exp(-np.clip(self.logits(row, column, n), -30, 30))) - labels
+            slope = np.stack([np.append(np.bincount(column, off[row, k], width), off[:, k].sum()) for k in range(len(CATEGORIES))]) + pull * (self.weights - self.prior)
+            first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
+            self.weights -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
 
 
 class Moderator:
-    """Scores of a text; fitted on (text, category) rows. ``groups``: names of peoples' countries."""
-
-    def __init__(self, examples: list[tuple[str, str]], groups: list[str]):
-        self.noise = Deobfuscator(vocabulary([t for t, _ in examples]))
-        insults = "|".join(sorted({re.escape(_plain(w)) for w in INSULTS}, key=len, reverse=True))
-        slurs = "|".join(sorted({re.escape(_plain(w)) for w in SLURS}, key=len, reverse=True))
-        self.insult = re.compile(rf"\b(?:{insults})\b")
-        self.slur = re.compile(rf"\b(?:{slurs})\b")
-        kinds = [("threat", 1.0, _plain(t)) for t in THREATS] + [("hate", 1.0, _plain(t)) for t in DEHUMANISE] + [("alone", 1.0, t) for t in HATE_ALONE] + [("sexual", w, t) for w, t in SEXUAL]
-        kinds += [("insult", 1.0, rf"\b{re.escape(_plain(w))}\b") for w in INSULTS] + [("slur", 1.0, rf"\b{re.escape(_plain(w))}\b") for w in SLURS]
-        self.kinds = [(kind, w) for kind, w, _ in kinds]
-        self.expressions = Expressions([t for _, _, t in kinds])
-        stems = sorted({_plain(g.split()[0])[: max(5, len(g.split()[0]) - 3)] for g in groups if g and len(g) >= 4}, key=len, reverse=True)
-        peoples = "|".join(map(re.escape, stems))
-        self.group = re.compile(rf"\b(?:{GROUP_NOUNS})\b" + (rf"|\b(?:{peoples})\w*" if peoples else ""))
-        self.people = re.compile(rf"\b(?:all|real|those|the|les|los|las|die|os|alle|todos|only) (?:\w+ )?(?:{peoples})\w*|\b(?:{peoples})\w*(?:ans|ers|ians|ese)\b" if peoples else r"(?!)")
-        self.person = re.compile(r"\b(?:you|your|yourself|u r|he|him|his|she|her|whoever|who|that|what a|bunch of|pack of|run by|crew|hey|eres|du|tu|toi|espece|seu|voce|ты|only)\b")
-        single = [(s, c) for t, c in examples for s in self.sentences(t)]
-        # a sentence that also occurs in harmless examples says nothing; the label of an example belongs to its cue sentence
-        clean = {self.shape(s) for s, c in single if c == "none"}
-        labelled = [(s, c if c != "none" and self.shape(s) not in clean and self._last(t, s) else "none") for t, c in examples for s in self.sentences(t)]
-        self.model = Classifier(labelled)
-
-    def _last(self, text: str, sentence: str) -> bool:
-        parts = self.sentences(text)
-        return len(parts) == 1 or parts[-1] == sentence or len(parts) > 1 and sentence in parts[-2:] and max(self.cues(sentence, "")) > 0
-
-    @staticmethod
-    def shape(sentence: str) -> str:
-        return " ".join(re.findall(r"[^\W\d_]+", sentence)[:4])
-
-    def sentences(self, text: str) -> list[str]:
-        text = _WRAPPED.sub(" ", _SHOUT.sub(r"\1", text))
-        return [r for s in SENTENCES.split(text) if s and s.strip() and (r := self.noise.restore(s))]
-
-    def cues(self, s: str, before: str) -> tuple[float, float, float]:
-        found = Counter()
-        for i in self.expressions.matching(s):
-            kind, weight = self.kinds[i]
-            found[kind] += weight
-        if not found:
-            return 0.0, 0.0, 0.0
-        insults = set(self.insult.findall(s)) if found["insult"] else set()
-        slurs = set(self.slur.findall(s)) if found["slur"] else set()
-        threats, hates, sexual = found["threat"], found["hate"], found["sexual"]
-        group = self.group.search(s) or self.people.search(s)
-        near = self.people.search(before) or re.search(rf"\b(?:{GROUP_NOUNS})\b", before) if hates and not group else None
-        hateful = 1.0 * bool(found["alone"]) + (0.6 + 0.5 * hates if (group or near) and hates else 0.0)
-        person = bool(self.person.search(s))
-        abusive = 1.0 * threats + (0.7 * len(insults) + 0.4 * len(slurs)) * (1 if person or insults and slurs else 0.5)
-        if insults and (person or len(insults) > 1):
-            abusive += 0.4
-        if len(slurs) >= 2 and not insults:
-            abusive += 0.3
-        if hateful >= 1:  # words against a group aren't also insults against a person
-            abusive = 1.0 * threats + (0.7 * len(insults) if len(insults - {"rat", "pig", "pigs", "animals", "filth", "trash"}) and person and threats else 0.0)
-            abusive = abusive if abusive > 1.5 else 0.0
-        return abusive, hateful, sexual
-
-    def scores(self, text: str | None) -> tuple[float, float, float]:
-        return self.scores_of([text])[0]
-
-    def scores_of(self, texts: list[str | None]) -> list[tuple[float, float, float]]:
-        """The highest score of any sentence of each text for each category: its cues and what the classifier adds, which is run on
-        every sentence; sentences that report or forbid such conduct count little. Null and blank texts score 0."""
-        split = [self.sentences(t) if t else [] for t in texts]
-        place = {s: i for i, s in enumerate(dict.fromkeys(s for ss in split for s in ss))}
-        learned = np.maximum(self.model.probabilities(list(place)) - 0.5, 0.0).tolist() if place else []
-        out = []
-        for sentences in split:
-            best = [0.0, 0.0, 0.0]
-            before = ""
-            for s in sentences:
-                cues, added = self.cues(s, before), learned[place[s]]
-                if any(cues) or any(added):
-                    excused = REPORTING.search(s) is not None
-                    for k in range(3):
-                        own = cues[k] + added[k] * (1.2 if max(cues) == cues[k] else 0.4)
-                        best[k] = max(best[k], own * (0.3 if excused else 1.0))
-                before = s
-            out.append((best[0], best[1], best[2]))
+    """Scores of texts; fitted on (text, category) rows. ``groups``: names of peoples' countries."""
+
+    def __init__(self, examples: list[tuple[str, str]], groups: list[str], fitted: bool = True, decoded: bool = True):
+        """Without ``fitted`` the weights stay at their priors, without ``decoded`` disguised words stay as they are."""
+        vocabulary = Vocabulary(groups)
+        words = Counter(w for t, _ in examples for w in set(_WORDS.findall(plain(t))))
+        self.reader = Reader(vocabulary, words)
+        if not decoded:
+            self.reader.lattice.read = lambda span: None  # type: ignore[method-assign]
+            self.reader._spans = lambda tokens: tokens  # type: ignore[method-assign]
+        split = [self.reader.sentences(t) for t, _ in examples]
+        sentences = [s for ss in split for s in ss]
+        text = np.repeat(np.arange(len(split)), [len(ss) for ss in split]).astype(np.int64)
+        self.model = Model(Features(vocabulary, sentences))
+        if fitted and sentences:
+            self._fit(sentences, text, [c for _, c in examples])
+        self.reader.memory.clear()
+        self.model.features.memory.clear()
+
+    def _fit(self, sentences: list[list[str]], text: np.ndarray, categories: list[str]) -> None:
+        """The label of a text belongs to its likeliest sentence, which is chosen again after each fit."""
+        row, column = self.model.features.of(sentences, text)
+        wanted = np.array([CATEGORIES.index(c) if c in CATEGORIES else -1 for c in categories])[text]
+        for _ in range(3):
+            z = self.model.logits(row, column, len(sentences))
+            labels = np.zeros((len(sentences), len(CATEGORIES)))
+            for k in range(len(CATEGORIES)):
+                mine = np.flatnonzero(wanted == k)
+                best = {int(text[i]): int(i) for i in mine[np.argsort(z[mine, k], kind="stable")]}
+                labels[list(best.values()), k] = 1
+            self.model.fit(row, column, labels)
+
+    def scores_of(self, texts: list[str | None]) -> np.ndarray:
+        """Of each text the highest probability of any sentence, a column for each category. Null and blank texts score 0."""
+        split = [self.reader.sentences(t) if t else [] for t in texts]
+        sentences = list(chain.from_iterable(split))
+        out = np.zeros((len(texts), len(CATEGORIES)))
+        if sentences:
+            text = np.repeat(np.arange(len(split)), [len(ss) for ss in split])
+            row, column = self.model.features.of(sentences, text)
+            z = self.model.logits(row, column, len(sentences))
+            np.maximum.at(out, text, 1 / (1 + np.exp(-np.clip(z, -30, 30))))
         return out
 
+    def scores(self, text: str | None) -> tuple[float, ...]:
+        return tuple(self.scores_of([text])[0])
+
 
 def moderate(documents: DataFrame, key: str, text: str, examples: DataFrame, groups: DataFrame, keep: tuple[str, ...] = (), example_rows: int = EXAMPLE_ROWS) -> DataFrame:
     """(key, the columns ``keep``, abusive, hateful, sexual double): every row's scores, 0 for null, empty and blank texts.
 
-    ``examples`` (text, category) fits the models, at most ``example_rows`` of them by the order of their ids; ``groups`` has one
-    text column of countries or peoples and is as small. A map over whole texts, without a shuffle.
+    ``examples`` (text, category) fits the models on the driver, at most ``example_rows`` of them by the order of their ids; the
+    fitted models are broadcast. ``groups`` has one text column of countries or peoples, of which as many are taken. A map over
+    whole texts, without a shuffle.
     """
     fitted = [(r["text"], r["category"]) for r in examples.filter("text IS NOT NULL AND category IS NOT NULL").orderBy("example_id").limit(example_rows).collect()]
-    names = sorted(r[0] for r in groups.distinct().na.drop().limit(example_rows).collect())
-    shipped = documents.sparkSession.sparkContext.broadcast((fitted, names))
+    names = sorted(r[0] for r in groups.distinct().na.drop().orderBy(groups.columns[0]).limit(example_rows).collect())
+    shipped = documents.sparkSession.sparkContext.broadcast(Moderator(fitted, names))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        moderator = Moderator(*shipped.value)
+        moderator = shipped.value
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            got = np.array([x for at in range(0, len(texts), 500) for x in moderator.scores_of(texts[at : at + 500])], float).reshape(-1, 3)
+            got = np.concatenate([moderator.scores_of(texts[at : at + TEXTS_AT_ONCE]) for at in range(0, len(texts), TEXTS_AT_ONCE)] or [np.zeros((0, len(CATEGORIES)))])
             own = [batch.column(i) for i in range(batch.num_columns) if i != 1]
-            yield pa.RecordBatch.from_arrays([*own, *[pa.array(got[:, k]) for k in range(3)]], names=[key, *keep, *CATEGORIES])
+            yield pa.RecordBatch.from_arrays([*own, *[pa.array(got[:, k]) for k in range(len(CATEGORIES))]], names=[key, *keep, *CATEGORIES])
 
     narrow = documents.select(key, text, *keep)
     schema = T.StructType([*narrow.drop(text).schema.fields, *[T.StructField(c, T.DoubleType()) for c in CATEGORIES]])
