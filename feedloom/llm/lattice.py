@@ -78,6 +78,8 @@ class Lattice:
 
     def __init__(self, words: Counter[str]):
         self.model = CharModel(words)
+        #: Costs by (last letter, next one), then the two letters before.
+        self.following = np.ascontiguousarray(self.model.cost.transpose(2, 3, 0, 1))
 
     def steps(self, span: str) -> list[list[tuple[str, float]]]:
         """For each sign, or run of equal ones, the texts that it may stand for with their costs."""
@@ -111,60 +113,58 @@ class Lattice:
 
     def search(self, span: str) -> tuple[float, str]:
         """(cost, reading) of the cheapest path over the whole lattice."""
-        cost = self.model.cost
-        # of each last letter: the costs by the two before it, and the paths to them
-        start = np.full((_OTHER + 1,) * 2, np.inf, np.float32)
-        start[0, 0] = 0.0
-        state: dict[int, tuple[np.ndarray, list]] = {0: (start, [])}
-        back: list[dict] = []
-
-        def emit(state: dict, code: int, price: float) -> tuple[np.ndarray, np.ndarray]:
+        size = _OTHER + 1
+        # the states: for each of the last letters ``codes`` the costs by the two before it; the traces say how each came to be
+        codes = np.array([0])
+        values = np.full((1, size, size), np.inf, np.float32)
+        values[0, 0, 0] = 0.0
+        back: list[dict[int, list]] = []
+
+        def emit(codes: np.ndarray, values: np.ndarray, code: int, price: float) -> tuple[np.ndarray, np.ndarray]:
             """The costs after one more letter by (letter before last, last), and the third letter back that gives them."""
-            value = np.full((_OTHER + 1,) * 2, np.inf, np.float32)
-            third = np.zeros((_OTHER + 1,) * 2, np.int8)
-            for last, (v, _) in state.items():
-                total = v + cost[:, :, last, code]
-                third[:, last] = total.argmin(axis=0)
-                value[:, last] = total.min(axis=0) + price
+            total = values + self.following[codes, code]
+            value = np.full((size, size), np.inf, np.float32)
+            third = np.zeros((size, size), np.int8)
+            third[:, codes] = total.argmin(axis=1).T
+            value[:, codes] = total.min(axis=1).T + price
             return value, third
 
-        def merge(new: dict, code: int, value: np.ndarray, trace: tuple) -> None:
-            old = new.get(code)
-            if old is None:
-                new[code] = (value, [(trace, None)])
-            else:
-                better = value < old[0]
-                if better.any():
-                    new[code] = (np.where(better, value, old[0]), [*old[1], (trace, better)])
-
         for options in self.steps(span):
-            new: dict = {}
+            new: dict[int, np.ndarray] = {}
+            traces: dict[int, list] = {}
+
+            def merge(code: int, value: np.ndarray, trace: tuple, new: dict = new, traces: dict = traces) -> None:
+                old = new.get(code)
+                if old is None:
+                    new[code], traces[code] = value, [(trace, None)]
+                else:
+                    better = value < old
+                    new[code] = np.where(better, value, old)
+                    traces[code].append((trace, better))
+
             for text, price in options:
                 if text == "":
-                    for code, (v, _) in state.items():
-                        merge(new, code, v + np.float32(price), ("", None, None))
+                    for code, value in zip(codes.tolist(), values, strict=True):
+                        merge(code, value + np.float32(price), ("", None, None))
                 elif text == " ":
                     # a word ends and another begins
-                    ends = {code: v + cost[:, :, code, 0] for code, (v, _) in state.items()}
-                    at = min(ends, key=lambda k: ends[k].min())
-                    place = np.unravel_index(ends[at].argmin(), ends[at].shape)
-                    value = np.full((_OTHER + 1,) * 2, np.inf, np.float32)
-                    value[0, 0] = ends[at].min() + price
-                    merge(new, 0, value, (" ", (int(place[0]), int(place[1]), at), None))
-                elif len(text) == 1:
-                    value, third = emit(state, _NUMBER.get(text, _OTHER), price)
-                    merge(new, _NUMBER.get(text, _OTHER), value, (text, third, None))
+                    ends = values + self.following[codes, 0]
+                    at, a, b = (int(x) for x in np.unravel_index(ends.argmin(), ends.shape))
+                    value = np.full((size, size), np.inf, np.float32)
+                    value[0, 0] = ends[at, a, b] + price
+                    merge(0, value, (" ", (a, b, int(codes[at])), None))
                 else:
                     code = _NUMBER.get(text[0], _OTHER)
-                    value, third = emit(state, code, price)
-                    value, again = emit({code: (value, [])}, code, 0.0)
-                    merge(new, code, value, (text, third, again))
-            back.append({code: traces for code, (_, traces) in new.items()})
-            state = new
-        ends = {code: v + cost[:, :, code, 0] for code, (v, _) in state.items()}
-        last = min(ends, key=lambda k: ends[k].min())
-        total = float(ends[last].min())
-        a, b = (int(x) for x in np.unravel_index(ends[last].argmin(), ends[last].shape))
+                    value, third = emit(codes, values, code, price)
+                    again = None
+                    if len(text) == 2:
+                        value, again = emit(np.array([code]), value[None], code, 0.0)
+                    merge(code, value, (text, third, again))
+            back.append(traces)
+            codes, values = np.array(list(new)), np.stack(list(new.values()))
+        ends = values + self.following[codes, 0]
+        at, a, b = (int(x) for x in np.unravel_index(ends.argmin(), ends.shape))
+        total, last = float(ends[at, a, b]), int(codes[at])
         text = ""
         for traces in reversed(back):
             # the last alternative that was better at this state made it

@@ -48,7 +48,7 @@ CLASSES: dict[str, str] = {
     "GROUP": """foreigners, foreigner, immigrants, immigrant, migrants, migrant, refugees, refugee, asylum seekers, muslims, muslim, jews, jewish, christians, catholics, protestants, hindus, sikhs, buddhists, atheists, gypsies, gypsy, roma, blacks, whites, asians, africans, arabs, latinos, mexicans, chinese, indians, pakistanis, poles, turks, kurds, gays, gay, lesbians, homosexuals, trans people, transgender*, queers, natives, aborigines, women, infidels, unbelievers, heathens, outsiders, aliens, minorities, ethnic*, disabled people, cripples, old people,
  extranjer*, inmigrantes, migrantes, refugiados, musulmanes, judios, gitanos, negros, moros, homosexuales, mujeres, etranger*, immigre*, migrants, refugies, musulmans, juifs, arabes, noirs, gitans, femmes, homosexuels, auslander*, einwanderer, zuwanderer, asylant*, asylbewerber, fremde, fremden, fremdlinge, migranten, fluchtling*, muslime, moslems, juden, zigeuner, schwarze, turken, schwule, frauen, estrangeir*, imigrantes, refugiados, muculmanos, judeus, ciganos, pretos, gays, mulheres, stranieri, immigrati, buitenlanders, immigranten,
  иностранц*, мигрант*, беженц*, мусульман*, евре*, цыган*, приезж*, 外国人, 移民, 難民, الأجانب, المهاجرين, اللاجئين, المهاجرون""",
-    "PEOPLE": "folk, folks, people, peoples, faithful, believers, worshippers, women, men, families, children, kids, refugees, migrants, immigrants, tribe, race, lot, faith, religion, community, kind, sort, pueblo, gente, fieles, creyentes, gens, peuple, fideles, croyants, leute, volk, anhanger, glaubige, glaubigen, povo, fieis, crentes, fedeli, народ, люди",
+    "PEOPLE": "folk, folks, people, peoples, faithful, believers, worshippers, women, men, families, children, kids, refugees, migrants, immigrants, tribe, race, lot, faith, religion, community, kind, sort, pueblo, gente, fieles, creyentes, gens, peuple, fideles, croyants, leute, menschen, personas, personnes, pessoas, volk, anhanger, glaubige, glaubigen, povo, fieis, crentes, fedeli, народ, люди",
     "SLUR": "subhuman*, untermensch*, towelhead*, raghead*, wetback*, gook*, chink*, spic, spics, kike*, nigger*, nigga*, faggot*, tranny, trannies, dyke*, paki, pakis, wog, wogs, coon, coons, goatfucker*, gypo*, pikey*, sudaca*, moro de mierda, bougnoule*, youpin*, negre*, bamboula*, kanake*, kanacke*, neger*, itaker*, judensau*, tschusch*, sandneger*, macaco*, жид, жиды, хач*, чурк*, черномаз*, チョン",
     "BEAST": """vermin, parasite*, rat, rats, cockroach*, roaches, animal, animals, beasts, pest, pests, scum, filth, plague, plagues, disease*, infestation*, leech*, savage*, barbarian*, garbage, trash, lice, louse, apes, monkey*, pigs, swine, dogs, maggots, locusts, virus*, cancer, tumour, tumor, infection, thieves, thief, criminals, criminal, rapists, murderers, terrorists, liars, invaders, invasion, hordes, swarm*, dirt, stain, curse, demons, devils, breed like, breeding, breed, infest*, contaminat*,
  ratas, ratones, parasitos, escoria, plaga, plagas, cucarachas, basura, bestias, animales, salvajes, ladrones, criminales, delincuentes, invasores, vermine, rats, cafards, parasites, racaille, dechets, animaux, sauvages, voleurs, ordures, peste, nuisibles, ungeziefer, ratten, schmarotzer, parasiten, abschaum, gesindel, dreck, mull, tiere, bestien, seuche, plage, kakerlaken, diebe, verbrecher, ratos, praga, pragas, parasitas, escoria, lixo, baratas, vermes, animais, ladroes, bandidos, invasores, parassiti, feccia, topi, ratten, ongedierte,
@@ -72,6 +72,8 @@ CLASSES: dict[str, str] = {
     "DOMAIN": "process, importer, validator, script, parser, fares, fare, feed, feeds, gtfs, dataset, agency, stop list, lock, server, file, files, csv, zip, json, api, dead end, deadline, rider survey, health, education, clinic",
 }
 
+#: The classes whose words are disguised above all.
+DISGUISED = ("INSULT", "WEAK", "DEROG", "CURSE", "SLUR", "BEAST", "SEX")
 BITS = {name: 1 << i for i, name in enumerate(CLASSES)}
 #: What nations are called: filled from the groups given to the model.
 NATION = 1 << len(CLASSES)
@@ -88,7 +90,7 @@ PRIORS: list[tuple[str, str, float]] = [
     ("abusive", "HATED", -4.5), ("abusive", "REPORT", -3.0), ("abusive", "DOMAIN", -0.7), ("abusive", "SEX", -2.0),
     ("hateful", "GROUP", 0.3), ("hateful", "SLUR", 4.8), ("hateful", "LESS", 2.0), ("hateful", "LESS GROUP", 3.4), ("hateful", "LESS ALLSUCH", 2.6), ("hateful", "BEAST GROUP", 4.6), ("hateful", "EXPEL GROUP", 4.4), ("hateful", "EXPEL BEAST", 4.6), ("hateful", "HURT GROUP", 2.4), ("hateful", "INSULT GROUP", 2.8), ("hateful", "DEROG GROUP", 2.8), ("hateful", "WEAK GROUP", 1.0), ("hateful", "CURSE GROUP", 2.4), ("hateful", "DISMISS GROUP", 3.5), ("hateful", "MODAL GROUP", 0.5), ("hateful", "ALLSUCH GROUP", 0.5), ("hateful", "LOATHE GROUP", 3.2), ("hateful", "LOATHE GROUP<", 4.4), ("hateful", "THROW OUT GROUP", 3.2), ("hateful", "DENY GROUP", 3.2), ("hateful", "DENY GROUP<", 2.0),
     ("hateful", "LESS GROUP<", 3.0), ("hateful", "BEAST GROUP<", 3.6), ("hateful", "EXPEL GROUP<", 3.2), ("hateful", "DISMISS GROUP<", 1.5), ("hateful", "INSULT GROUP<", 1.5), ("hateful", "DEROG GROUP<", 1.5), ("hateful", "REPORT", -3.0), ("hateful", "DOMAIN", -0.7),
-    ("sexual", "SEX", 4.6), ("sexual", "2SEX", 2.0), ("sexual", "SEXWEAK", 0.9), ("sexual", "2SEXWEAK", 1.8), ("sexual", "SEX SEXWEAK", 1.5), ("sexual", "3SEXWEAK", 2.4), ("sexual", "INSULT", -0.6), ("sexual", "REPORT", -3.5), ("sexual", "DOMAIN", -0.7),
+    ("sexual", "SEX", 5.0), ("sexual", "2SEX", 2.0), ("sexual", "SEXWEAK", 0.9), ("sexual", "2SEXWEAK", 1.8), ("sexual", "SEX SEXWEAK", 1.5), ("sexual", "3SEXWEAK", 2.4), ("sexual", "INSULT", -0.6), ("sexual", "REPORT", -3.5), ("sexual", "DOMAIN", -0.7),
 ]
 #: Prior weight of no class at all.
 BIAS = -4.0

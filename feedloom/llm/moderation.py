@@ -30,7 +30,7 @@ EXAMPLE_ROWS = 20_000
 THRESHOLD = 0.5
 #: Texts that are scored at once.
 TEXTS_AT_ONCE = 500
-#: Most words that a task remembers.
+#: Tokens that a task remembers before it begins anew.
 REMEMBERED = 1_000_000
 
 #: A shouted word within a sentence, and lines that go on.
@@ -105,9 +105,10 @@ class Vocabulary:
         yield from {t: m for _, (m, t) in self.automaton.iter(text)}.values()
 
     def language(self) -> Counter[str]:
-        """The words of the vocabulary for the language model; stems end in ``*``."""
-        out = Counter({w: 3 for w in self.words})
-        out.update({s + "*": 3 for s in self.stems})
+        """The words of the vocabulary for the language model, those that one disguises most; stems end in ``*``."""
+        hidden = sum(lexicon.BITS[c] for c in lexicon.DISGUISED)
+        out = Counter({w: 30 if m & hidden else 2 for w, m in self.words.items()})
+        out.update({s + "*": 30 if m & hidden else 2 for s, m in self.stems.items()})
         for p in self.phrases:
             out.update(dict.fromkeys(p.split(), 1))
         return Counter({w: n for w, n in out.items() if w.rstrip("*").isascii() and w.rstrip("*").isalpha()})
@@ -123,35 +124,50 @@ class Reader:
             if w.isascii() and w.isalpha():
                 language[w] += n
         self.known = {w for w in language if not w.endswith("*")}
+        self.weight = {w.rstrip("*"): n for w, n in language.items()}
+        self.by_length: dict[int, list[str]] = {}
+        for w in self.weight:
+            self.by_length.setdefault(len(w), []).append(w)
         self.lattice = Lattice(language)
-        self.memory: dict[str, tuple[str, ...]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        #: The words read so far, and the numbers of the words of each token.
+        self.names: list[str] = []
+        self.numbers: dict[str, int] = {}
+        self.memory: dict[str, tuple[int, ...]] = {}
 
     def is_known(self, word: str) -> bool:
         return word in self.known or bool(self.vocabulary.mask(word) & ~lexicon.NATION)
 
-    def sentences(self, text: str) -> list[list[str]]:
-        """The words of each sentence."""
+    def sentences(self, text: str) -> list[list[int]]:
+        """The numbers of the words of each sentence."""
         out = []
         for s in SENTENCES.split(_WRAPPED.sub(" ", _SHOUT.sub(r"\1", text))):
             if s and (words := self.words(s)):
                 out.append(words)
         return out
 
-    def words(self, sentence: str) -> list[str]:
+    def words(self, sentence: str) -> list[int]:
         memory = self.memory
         tokens = sentence.split()
         if _SINGLES.search(sentence):
             tokens = self._spans(tokens)
-        out: list[str] = []
+        out: list[int] = []
         for t in tokens:
             got = memory.get(t)
             if got is None:
-                if len(memory) > REMEMBERED:
-                    memory.clear()
-                got = memory[t] = tuple(self._token(t))
+                got = memory[t] = tuple(self._number(w) for w in self._token(t))
             out += got
         return out
 
+    def _number(self, word: str) -> int:
+        got = self.numbers.get(word)
+        if got is None:
+            got = self.numbers[word] = len(self.names)
+            self.names.append(word)
+        return got
+
     @staticmethod
     def _spans(tokens: list[str]) -> list[str]:
         """Three or more tokens of one sign each become one, with spaces."""
@@ -196,10 +212,18 @@ class Reader:
             return None
         if _APART.fullmatch(w):
             return self.lattice.read(w)
+        if any(not c.isascii() and c not in LOOKALIKES and c.isalpha() for c in w):
+            return None
         if _PIECES.fullmatch(w):
+            pieces = re.split("[.-]", w)
+            joined = ("".join(pieces[i:j]) for i in range(len(pieces)) for j in range(i + 2, len(pieces) + 1))
+            if not any(map(self.is_known, joined)):
+                return None
             read = self.lattice.read(w)
             return read if read and all(self.is_known(x) for x in read.split()) else None
         signs = any(c in _SIGNS for c in w)
+        if any(c in MASKS for c in w):
+            return self._unmasked(w)
         if mixed or _TRIPLE.search(w):
             return self.lattice.read(w)
         if signs and len(w) >= 3 and "_" not in w and "-" not in w and not re.fullmatch(r"\d+[a-z]{1,2}|[a-z]{1,2}\d+", w):
@@ -207,39 +231,49 @@ class Reader:
         return None
 
 
+    def _unmasked(self, w: str) -> str | None:
+        """The reading of a masked word; if it is no word, the likeliest known word that shows what isn't masked."""
+        read = self.lattice.read(w)
+        if read is None or self.is_known(read):
+            return read
+        shown = re.compile("".join("[a-z]" if c in MASKS else f"[{LEET.get(c, '')}{re.escape(c)}]" for c in w))
+        fits = [k for k in self.by_length.get(len(w), ()) if shown.fullmatch(k)]
+        return min(fits, key=lambda k: (-self.weight[k], self.lattice.model.word_cost(k), k), default=read)
+
+
 class Features:
     """What the model sees of sentences: classes that hold, words and pairs of words that the fitting saw twice or more."""
 
-    def __init__(self, vocabulary: Vocabulary, sentences: list[list[str]]):
-        self.vocabulary = vocabulary
-        words = Counter(w for s in sentences for w in set(s))
-        pairs = Counter(p for s in sentences for p in set(zip(s, s[1:], strict=False)))
+    def __init__(self, reader: Reader, sentences: list[list[int]]):
+        self.reader = reader
+        split = [[reader.names[i] for i in s] for s in sentences]
+        words = Counter(w for s in split for w in set(s))
+        pairs = Counter(p for s in split for p in set(zip(s, s[1:], strict=False)))
         self.index = {w: i for i, w in enumerate(sorted(w for w, n in words.items() if n >= 2))}
         codes = sorted(self.index[a] * len(self.index) + self.index[b] for (a, b), n in pairs.items() if n >= 2)
         self.codes = np.array(codes, np.int64)
         self.conditions = list(dict.fromkeys(c for _, c, _ in lexicon.PRIORS))
         self.width = len(self.conditions) + len(self.index) + len(self.codes)
-        self.memory: dict[str, tuple[int, int]] = {}
+        self.forget()
 
-    def _word(self, word: str) -> tuple[int, int]:
-        got = self.memory.get(word)
-        if got is None:
-            if len(self.memory) > REMEMBERED:
-                self.memory.clear()
-            got = self.memory[word] = (self.vocabulary.mask(word), self.index.get(word, -1))
-        return got
+    def forget(self) -> None:
+        #: The classes and the number in the index of each of the reader's words.
+        self.looked = np.zeros((0, 2), np.int64)
 
-    def of(self, sentences: list[list[str]], texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, sentences: list[list[int]], texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(sentence, feature) of each feature that holds, each once; ``texts``: the text of each sentence, in order."""
         n = len(sentences)
-        sizes = np.array([len(s) for s in sentences], np.int64)
-        looked = np.array([self._word(w) for s in sentences for w in s], np.int64).reshape(-1, 2)
+        sizes = np.fromiter(map(len, sentences), np.int64, n)
+        names, vocabulary = self.reader.names, self.reader.vocabulary
+        new = [(vocabulary.mask(w), self.index.get(w, -1)) for w in names[len(self.looked) :]]
+        self.looked = np.concatenate([self.looked, np.array(new, np.int64).reshape(-1, 2)])
+        looked = self.looked[np.fromiter(chain.from_iterable(sentences), np.int64, int(sizes.sum()))]
         masks, ids = looked[:, 0], looked[:, 1]
         owner = np.repeat(np.arange(n), sizes)
         held = np.bitwise_or.reduceat(masks, np.cumsum(sizes) - sizes) if n else np.zeros(0, np.int64)
         counts = {c: np.bincount(owner[(masks & lexicon.BITS[c]) != 0], minlength=n) for c in _COUNTED}
         for i in np.flatnonzero(held & _ANCHOR):
-            for m in self.vocabulary.found(sentences[i]):
+            for m in vocabulary.found([names[w] for w in sentences[i]]):
                 held[i] |= m
                 for c in _COUNTED:
                     counts[c][i] += (m & lexicon.BITS[c]) != 0
@@ -325,11 +359,14 @@ class Moderator:
         split = [self.reader.sentences(t) for t, _ in examples]
         sentences = [s for ss in split for s in ss]
         text = np.repeat(np.arange(len(split)), [len(ss) for ss in split]).astype(np.int64)
-        self.model = Model(Features(vocabulary, sentences))
+        self.model = Model(Features(self.reader, sentences))
         if fitted and sentences:
             self._fit(sentences, text, [c for _, c in examples])
-        self.reader.memory.clear()
-        self.model.features.memory.clear()
+        self.forget()
+
+    def forget(self) -> None:
+        self.reader.forget()
+        self.model.features.forget()
 
     def _fit(self, sentences: list[list[str]], text: np.ndarray, categories: list[str]) -> None:
         """The label of a text belongs to its likeliest sentence, which is chosen again after each fit."""
@@ -346,6 +383,8 @@ class Moderator:
 
     def scores_of(self, texts: list[str | None]) -> np.ndarray:
         """Of each text the highest probability of any sentence, a column for each category. Null and blank texts score 0."""
+        if len(self.reader.memory) > REMEMBERED:
+            self.forget()
         split = [self.reader.sentences(t) if t else [] for t in texts]
         sentences = list(chain.from_iterable(split))
         out = np.zeros((len(texts), len(CATEGORIES)))

@@ -32,7 +32,7 @@ def categories(moderator, text):
 
 
 def restored(moderator, text):
-    return " ".join(w for s in moderator.reader.sentences(text) for w in s)
+    return " ".join(moderator.reader.names[w] for s in moderator.reader.sentences(text) for w in s)
 
 
 def test_viterbi_finds_the_cheapest_of_all_readings():
@@ -62,7 +62,7 @@ def test_held_out_templates(examples, groups):
         if category == "none":
             continue
         k = m.CATEGORIES.index(category)
-        best = max(first.reader.sentences(text), key=lambda s: first.scores(" ".join(s))[k])
+        best = max(([first.reader.names[w] for w in s] for s in first.reader.sentences(text)), key=lambda s: first.scores(" ".join(s))[k])
         for c, words, held in clusters:
             if c == category and len(words & set(best)) >= 0.4 * min(len(words), len(set(best))):
                 held.append(text)
