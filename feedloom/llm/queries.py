@@ -14,6 +14,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.match_places(feeds, "feed_row_id", "location.country_code", "location.subdivision_name", "location.municipality", table(spark, sf_dir, "places"))
 
 
+def p2_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entries within the distance of each row's typed values."""
+    feeds = table(spark, sf_dir, "schedule_feeds")
+    return places.candidates(feeds, "feed_row_id", "location.country_code", "location.subdivision_name", "location.municipality", table(spark, sf_dir, "places"))
+
+
 def p2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The typed values without an entry, and how many rows have them."""
     feeds = table(spark, sf_dir, "schedule_feeds").select("feed_row_id", "location.country_code", "location.subdivision_name", "location.municipality")
@@ -64,7 +70,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = (p2_found, p2_unmatched, p7_found, p7_entities, p8_ids, p9_found, p9_reparameterised, p10_found, p10_scores, p10_rates)
+    found = (p2_found, p2_candidates, p2_unmatched, p7_found, p7_entities, p8_ids, p9_found, p9_reparameterised, p10_found, p10_scores, p10_rates)
     return {f.__name__: f for f in found}
 
 
