@@ -40,6 +40,10 @@ _BY_USE = sorted(KIND_WORDS, key=lambda w: (w in ("county", "council", "city", "
 EMPTY_WORDS = frozenset("the of and de la du for a ltd limited gmbh ag inc llc plc sa corp ab oy bv nv srl kg operations network group".split())
 #: Ends of names of legal forms written with points.
 LEGAL_ENDS = re.compile(r"(?i)[\s,]+(?:s\.\s?a\.?|l\.l\.c\.?|ltd\.?|inc\.?|gmbh|plc|llc)\s*$")
+#: Words for services, which aren't part of an organisation's name where they follow it.
+SERVICE_WORDS = frozenset("airport shuttle night weekend weekday school express replacement paratransit trolleybus local seasonal summer winter holiday".split())
+#: Where what follows a name begins.
+_BREAK = re.compile(r"\s[-–—|/]+\s|[:;(\[,]")
 _WORD_OPS = re.compile(r"(?i)\bco-op\b")
 _TOKENS = re.compile(r"[^\W_]+\.?")
 _INITIALISM = re.compile(r"^(?:[A-Z]{2,8}|(?:[A-Z]\.){2,8})$")
@@ -153,6 +157,24 @@ def read_kind(text: str | None) -> str:
     return " ".join(sorted(found))
 
 
+def named_part(text: str | None) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """(proper tokens, those of them that are abbreviated) of the organisation that a text begins with: all up to a break, a word
+    of kind or a word for a service, but at least two, if there are as many."""
+    parts = _BREAK.split(text or "")
+    proper: list[str] = []
+    pointed: list[str] = []
+    for part in parts:
+        for word in part.split():
+            own, short, _ = read_name(word)
+            if len(proper) >= 2 and (not own and read_kind(word) or any(t in SERVICE_WORDS for t in own)):
+                return tuple(proper), tuple(pointed)
+            proper += own
+            pointed += short
+        if len(proper) >= 2:
+            break
+    return tuple(proper), tuple(pointed)
+
+
 def leads_of(kind: str) -> frozenset[str]:
     return frozenset(w[:2] for w in kind.split())
 
@@ -175,13 +197,13 @@ def read_row(first: str | None, second: str | None) -> tuple[tuple[str, ...], tu
     contracted = len(proper) == 2 and all(len(p) <= 4 for p in proper) and not re.search(r"\s", (first or "").strip())
     if len(proper) >= 2 and not contracted:
         return tuple(sorted(proper)), tuple(sorted(pointed)), read_kind(first)
-    other, other_pointed, _ = read_name(second)
-    if len(other) >= 2:
-        body = other[:2]
-        fits = not proper and (not initials or any(i.startswith("".join(w[0] for w in body)) for i in initials))
+    body, body_pointed = named_part(second)
+    if len(body) >= 2:
+        letters = "".join(w[0] for w in body)
+        fits = not proper and (not initials or any(i.startswith(letters) or letters.startswith(i) for i in initials))
         fits = fits or any(osa(p, b, 2) <= (1 if len(p) < 7 else 2) or b.startswith(p) for p in proper for b in body)
         if fits:
-            return tuple(sorted(body)), tuple(sorted(t for t in other_pointed if t in body)), ""
+            return tuple(sorted(body)), tuple(sorted(body_pointed)), ""
     return tuple(sorted(proper or initials)), tuple(sorted(pointed)), read_kind(first)
 
 

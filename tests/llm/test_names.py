@@ -106,3 +106,55 @@ def test_initialisms_are_no_words_of_kind():
     assert n.read_row("SVIC - Selpelda Vinraba", None) == (("selpelda", "vinraba"), (), "")
     assert n.read_row("SELPELDA VINRABA BUS CO.", None) == (("selpelda", "vinraba"), (), "bus company")
     assert n.read_row("Nortirtho Fenriwes Transit Authority", None)[0] == ("fenriwes", "nortirtho")
+
+
+def test_all_of_the_second_text_counts(spark):
+    assert n.named_part("Jukelmer Nakelva Bus Company - Night services") == n.named_part("Jukelmer Nakelva: Harbour lines") == n.named_part("Jukelmer Nakelva Airport shuttle") == (("jukelmer", "nakelva"), ())
+    assert n.named_part("Bus Company of Jukelmer Nakelva") == (("jukelmer", "nakelva"), ())
+    assert n.named_part(None) == ((), ())
+    assert linked(spark, [(1, "NV", "Northern Valley Harbour Lake"), (2, "NV Co", "Northern Valley Mountain Coach"), (3, "NVHL", "Northern Valley Harbour Laek")]) == {(1, 3)}
+
+
+def misspelt(rng, name):
+    """A name as typed by someone else: edits, other order, abbreviations, initials of the kind, joined words."""
+    words = name.split()
+    proper, kind = words[:-2], words[-2:]
+    way = rng.choice(["edit", "edit", "two", "swap", "order", "short", "join", "kind", "comma", "case"])
+    if way in ("edit", "two", "swap"):
+        for _ in range(2 if way == "two" else 1):
+            k = rng.randrange(len(proper))
+            w = proper[k]
+            i = rng.randrange(len(w) - 1)
+            proper[k] = w[:i] + w[i + 1] + w[i] + w[i + 2 :] if way == "swap" else rng.choice([w[:i] + w[i + 1 :], w[:i] + rng.choice("aeioknrst") + w[i:], w[:i] + rng.choice("aeioknrst") + w[i + 1 :]])
+    elif way == "order":
+        return " ".join([*kind, "of", *proper[::-1]])
+    elif way == "short":
+        k = rng.randrange(len(proper))
+        proper[k] = proper[k][: rng.choice([1, 4])] + "."
+    elif way == "join":
+        return " ".join(["".join(w.capitalize() for w in proper), *kind])
+    elif way == "kind":
+        kind = [kind[0][:4] + ".", *kind[1:]]
+    elif way == "comma":
+        return f"{proper[-1]}, {' '.join(proper[:-1])} ({' '.join(kind)})"
+    out = " ".join([*proper, *kind])
+    return out.upper() if way == "case" else out
+
+
+def test_recall_and_precision_on_generated_misspellings(spark):
+    """Unseen names of two to nine proper words; each organisation's spellings must meet and no others."""
+    rng = random.Random(11)
+    syllables = [a + b for a in "bcdfghjklmnprstvz" for b in ("al", "er", "in", "or", "ume", "ath")]
+    rows, owner = [], []
+    for o in range(120):
+        words = ["".join(rng.sample(syllables, rng.choice([2, 3]))).capitalize() for _ in range(rng.choice([2, 2, 2, 3, 3, 4, 6, 9]))]
+        name = " ".join([*words, *rng.choice(["Bus Company", "Transit Authority", "Ferry Services", "Public Transport"]).split()])
+        spellings = [name, *dict.fromkeys(misspelt(rng, name) for _ in range(6))]
+        for t in dict.fromkeys(spellings):
+            rows.append((len(rows), t, rng.choice([None, "Night services", t])))
+            owner.append(o)
+    true = {(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if owner[a] == owner[b]}
+    got = linked(spark, rows)
+    assert len(true & got) / len(true) >= 0.9
+    assert len(true & got) / len(got) >= 0.98
+    print("recall", len(true & got) / len(true), "precision", len(true & got) / len(got))
