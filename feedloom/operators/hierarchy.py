@@ -7,6 +7,8 @@ on ways into them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,28 +27,45 @@ def roots(edges: DataFrame) -> DataFrame:
 
     ``root`` is where the chain ends, even if no row has that id, and ``depth`` the number of steps. Nodes on a loop or on a
     way into one have a null root, depth -1 and looped true; a node that is its own parent is a loop. An empty table gives an
-    empty one. Every round is cut by a checkpoint, and hot pointers are salted.
+    empty one. Every round is cut by a checkpoint of the nodes unfinished before it, and hot pointers are salted.
     """
-    state = cut(edges.select("id", F.col("parent").alias("ptr"), F.lit(1).cast("bigint").alias("dist"), F.lit(False).alias("done")))
-    rows = state.count()
-    while rows:
-        active = state.filter(~F.col("done"))
-        hot = hot_keys(active, "ptr", rows)
-        known = state.select(F.col("id").alias("k"), F.col("ptr").alias("k_ptr"), F.col("dist").alias("k_dist"), F.col("done").alias("k_done"))
-        joined = salted_lookup(active, known, "ptr", "k", "id", hot)
+    first = cut(edges.select("id", F.col("parent").alias("ptr"), F.lit(1).cast("bigint").alias("dist"), F.lit(False).alias("done")))
+
+    def advance(joined: DataFrame) -> DataFrame:
         ends = F.col("k").isNull()
-        step = joined.select(
+        return joined.select(
             "id",
             F.when(ends, F.col("ptr")).otherwise(F.col("k_ptr")).alias("ptr"),
             F.when(ends, F.col("dist")).otherwise(F.col("dist") + F.col("k_dist")).alias("dist"),
             (ends | F.col("k_done")).alias("done"),
         )
-        state = cut(state.filter("done").unionByName(step))
-        left = state.filter(~F.col("done")).count()
-        if left in (0, rows):
+
+    state = _doubled(first, advance)
+    return state.select("id", F.when(F.col("done"), F.col("ptr")).alias("root"), F.when(F.col("done"), F.col("dist")).otherwise(-1).cast("int").alias("depth"), (~F.col("done")).alias("looped"))
+
+
+def _doubled(first: DataFrame, advance: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The state (id, ptr, ..., done) after as many rounds as it takes, or after one in which nothing was done.
+
+    Each round looks up what the unfinished nodes point to and ``advance``s them; only their new state is written. The states of
+    the finished stay where they were written, and only those that are pointed to come to the join.
+    """
+    active, finished = first, None
+    rows = first.count()
+    while rows:
+        known = active if finished is None else active.unionByName(finished)
+        wanted = active.select(F.col("ptr").alias("w")).distinct()
+        known = known.join(wanted, known["id"] == wanted["w"], "left_semi")
+        known = known.select(F.col("id").alias("k"), *[F.col(c).alias(f"k_{c}") for c in known.columns if c != "id"])
+        step = cut(advance(salted_lookup(active, known, "ptr", "k", "id", hot_keys(active, "ptr", rows))))
+        done = step.filter("done")
+        finished = done if finished is None else finished.unionByName(done)
+        active = step.filter(~F.col("done"))
+        left = active.count()
+        if left == rows:
             break
         rows = left
-    return state.select("id", F.when(F.col("done"), F.col("ptr")).alias("root"), F.when(F.col("done"), F.col("dist")).otherwise(-1).cast("int").alias("depth"), (~F.col("done")).alias("looped"))
+    return active if finished is None else active.unionByName(finished)
 
 
 def paths(edges: DataFrame, found: DataFrame | None = None) -> DataFrame:
@@ -55,17 +74,15 @@ def paths(edges: DataFrame, found: DataFrame | None = None) -> DataFrame:
     Looped nodes are left out first, so the segments stay within the depths. Segments are concatenated by the same doubling.
     """
     found = roots(edges) if found is None else found
-    state = cut(found.filter(~F.col("looped")).select("id").join(edges, "id").select("id", F.array("parent").alias("seg"), F.lit(False).alias("done")))
-    rows = state.count()
-    while rows:
-        active = state.filter(~F.col("done")).withColumn("ptr", F.element_at("seg", -1))
-        known = state.select(F.col("id").alias("k"), F.col("seg").alias("k_seg"), F.col("done").alias("k_done"))
-        joined = salted_lookup(active, known, "ptr", "k", "id", hot_keys(active, "ptr", rows))
+    first = found.filter(~F.col("looped")).select("id").join(edges, "id").select("id", F.array("parent").alias("seg"), F.lit(False).alias("done"))
+    first = cut(first.withColumn("ptr", F.element_at("seg", -1)))
+
+    def advance(joined: DataFrame) -> DataFrame:
         ends = F.col("k").isNull()
         step = joined.select("id", F.when(ends, F.col("seg")).otherwise(F.concat("seg", "k_seg")).alias("seg"), (ends | F.col("k_done")).alias("done"))
-        state = cut(state.filter("done").unionByName(step))
-        rows = state.filter(~F.col("done")).count()
-    return state.select("id", F.concat(F.array("id"), "seg").alias("path"))
+        return step.withColumn("ptr", F.element_at("seg", -1))
+
+    return _doubled(first, advance).select("id", F.concat(F.array("id"), "seg").alias("path"))
 
 
 def descendants(all_paths: DataFrame) -> DataFrame:

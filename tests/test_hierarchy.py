@@ -1,6 +1,7 @@
 import random
 
 from feedloom.operators import hierarchy as h
+from feedloom.operators.skew import Hot, hot_keys
 
 
 def edges(spark, pairs):
@@ -53,6 +54,13 @@ def test_nulls_repeats_and_empty(spark):
 
 def test_hot_pointers_are_salted(spark, monkeypatch):
     monkeypatch.setattr("feedloom.operators.skew.HOT_ROWS", 10)
-    monkeypatch.setattr(h, "hot_keys", lambda df, key, rows: ["hub"])
+    monkeypatch.setattr(h, "hot_keys", lambda df, key, rows: Hot(["hub"]))
     pairs = [(f"s{i}", "hub") for i in range(300)] + [("hub", "top"), ("a", "s1")]
     assert {r["id"]: (r["root"], r["depth"]) for r in h.roots(edges(spark, pairs)).collect()} == brute(pairs)
+
+
+def test_hot_keys_go_by_rows_a_task(spark, monkeypatch):
+    monkeypatch.setattr("feedloom.operators.skew.HOT_ROWS", 10)
+    df = spark.createDataFrame([("a",)] * 95 + [("b",)] * 11 + [("c",)] * 10 + [(None,)] * 50, "k string")
+    hot = hot_keys(df, "k", 166)
+    assert sorted(hot) == ["a", "b"] and hot.salts == 10
