@@ -356,7 +356,10 @@ def _checked(first: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, rep, a, b, rep_freq, cost): the distinct pairs of ``first`` with their readings and the cost of aligning them."""
     pairs = first.select("node", "rep").distinct()
     pairs = pairs.join(texts.select("node", F.col("reading").alias("a")), "node")
-    pairs = pairs.join(texts.select(F.col("node").alias("rep"), F.col("reading").alias("b"), F.col("freq").alias("rep_freq")), "rep")
+    # the most frequent readings are tied to by many
+    pairs = cut(pairs)
+    heads = texts.select(F.col("node").alias("head"), F.col("reading").alias("b"), F.col("freq").alias("rep_freq"))
+    pairs = salted_lookup(pairs, heads, "rep", "head", "node", hot_keys(pairs, "rep", pairs.count()), "inner")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -423,7 +426,8 @@ def same_organisation(df: DataFrame, row_id: str, first: str, second: str) -> Da
     rows = cut(readings(df, row_id, first, second))
     nodes = rows.groupBy("reading").agg(F.count(F.lit(1)).alias("freq"))
     found = roots(ties(nodes)).select("id", F.col("root"))
-    mapped = rows.join(found, rows["reading"] == found["id"], "left")
+    # a reading of many rows is salted
+    mapped = salted_lookup(rows, found, "reading", "id", "row", hot_keys(rows, "reading", rows.count()))
     return mapped.select("row", "text", F.coalesce("root", "reading").alias("entity"))
 
 
@@ -437,6 +441,5 @@ def variant_pairs(found: DataFrame) -> DataFrame:
     rows = found.count()
     large = hot_keys(found, "entity", rows, least=SPREAD_ROWS)
     right = found.select(F.col("entity").alias("e"), F.col("row").alias("b"), F.col("text").alias("other"))
-    parts = max(8, min(512, rows // (3 * SPREAD_ROWS)))
-    joined = salted_lookup(found.withColumnRenamed("row", "a"), right, "entity", "e", "a", large, "inner", parts)
+    joined = salted_lookup(found.withColumnRenamed("row", "a"), right, "entity", "e", "a", large, "inner")
     return joined.filter((F.col("a") < F.col("b")) & (F.col("text") != F.col("other"))).select("a", "b")
