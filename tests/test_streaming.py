@@ -19,6 +19,45 @@ def test_patches_from_a_stream(spark, tmp_path):
     assert sorted(tuple(r) for r in updates.current(spark, out).select("id", "provider", "status").collect()) == [("1", "A2", "inactive"), ("2", "B", None), ("3", "C", None)]
 
 
+def test_batches_do_not_change_the_result(spark, tmp_path):
+    schema = "id string, data_type string, provider string, place struct<country:string,city:string>, features array<string>, at timestamp"
+    rows = [
+        ("1", "gtfs", "A", ("XA", None), ["f"], "2024-01-01"), ("1", "other", None, (None, "Town"), None, "2024-01-02"), ("1", None, "B", None, [], "2024-01-03"), ("2", "gtfs", None, None, None, "2024-01-01"),
+        ("2", None, "late", None, None, "2024-01-05"), ("2", None, "earlier", ("XB", "C"), None, "2024-01-04"), ("3", "gtfs", "tie a", None, None, "2024-01-01"), ("3", None, "tie b", None, None, "2024-01-01"), (None, "gtfs", "no key", None, None, "2024-01-01"),
+    ]
+    whole = None
+    for n, order in enumerate(([*range(9)], [*range(8, -1, -1)], [4, 0, 7, 2, 5, 8, 1, 3, 6])):
+        for size in (9, 1, 4):
+            src, out = f"{tmp_path}/in{n}{size}", f"{tmp_path}/out{n}{size}"
+            for k in range(0, 9, size):
+                part = spark.createDataFrame([rows[i] for i in order[k : k + size]], schema.replace("timestamp", "string")).withColumn("at", F.col("at").cast("timestamp"))
+                part.coalesce(1).write.mode("append").parquet(src)
+                if size == 4 or k + size >= 9:
+                    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000 if size == 4 else 9).parquet(src)
+                    updates.apply_patches(stream, out, "id", "at", f"{out}-cp", buckets=4).awaitTermination()
+            got = sorted(map(str, updates.current(spark, out).select("id", "data_type", "provider", "place", "features").collect()))
+            whole = got if whole is None else whole
+            assert got == whole
+            if n == 0:
+                break
+        if n == 0:
+            assert any("provider='B', place=Row(country='XA', city='Town'), features=[]" in r for r in got) and any("'late'" in r and "'XB'" in r for r in got) and len(got) == 3
+
+
+def test_old_versions_are_removed_and_others_stay(spark, tmp_path):
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    for k in range(4):
+        spark.createDataFrame([(str(k % 2), f"v{k}", k)], "id string, v string, at long").coalesce(1).write.mode("append").parquet(src)
+        updates.apply_patches(spark.readStream.schema("id string, v string, at long").parquet(src), out, "id", "at", f"{out}-cp", buckets=8).awaitTermination()
+    assert sorted(tuple(r) for r in updates.current(spark, out).collect()) == [("0", "v2"), ("1", "v3")]
+    assert sorted(p.name for p in (tmp_path / "out/data").iterdir()) == ["version=1", "version=2", "version=3"]
+    assert len(list((tmp_path / "out/done").iterdir())) == 2
+    # a batch without keys that the table has
+    spark.createDataFrame([("9", "new", 9)], "id string, v string, at long").coalesce(1).write.mode("append").parquet(src)
+    updates.apply_patches(spark.readStream.schema("id string, v string, at long").parquet(src), out, "id", "at", f"{out}-cp", new_rows=False, buckets=8).awaitTermination()
+    assert updates.current(spark, out).count() == 2
+
+
 def test_windows_and_repeats(spark, tmp_path):
     rows = [("a", "2024-01-01 00:01:00"), ("a", "2024-01-01 00:01:00"), ("b", "2024-01-01 00:40:00"), ("c", "2024-01-01 02:00:00")]
     spark.createDataFrame(rows, "id string, at string").withColumn("at", F.col("at").cast("timestamp")).coalesce(1).write.parquet(f"{tmp_path}/in")
