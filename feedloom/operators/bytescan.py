@@ -60,6 +60,14 @@ def strings_from(data: np.ndarray, keep: np.ndarray, start: np.ndarray, end: np.
     return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[within].tobytes())).cast(pa.string())
 
 
+def spans(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> pa.Array:
+    """A string array of the bytes from each ``first`` up to before each ``end``; the spans may overlap and come in any order."""
+    lengths = end - first
+    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
+    at = np.repeat(first - offsets[:-1], lengths) + np.arange(offsets[-1])
+    return pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(data[at].tobytes())).cast(pa.string())
+
+
 def next_where(mask: np.ndarray) -> np.ndarray:
     """For each position the first position at or after it where ``mask`` holds, else the length; one entry more."""
     n = len(mask)

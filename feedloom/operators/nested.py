@@ -14,10 +14,11 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .bytescan import BACKSLASH, QUOTE, Texts, last_where, next_where, pieces
+from .bytescan import BACKSLASH, QUOTE, Texts, last_where, next_where, pieces, spans
 
 #: Bytes of text indexed at once.
 PIECE_BYTES = 1 << 20
@@ -144,19 +145,50 @@ class StructuralIndex:
     def text(self, first: int, last: int) -> str:
         return self.t.data[first : last + 1].tobytes().decode()
 
+    def raw(self, first: np.ndarray, last: np.ndarray) -> pa.Array:
+        """The texts from each first to each last byte, as written."""
+        return spans(self.t.data, first, last + 1)
+
+    def strings(self, first: np.ndarray, last: np.ndarray) -> pa.Array:
+        """The JSON strings from each first to each last quote, decoded; null for one with a wrong escape. Only those with a
+        backslash are looked at one by one, and all of them in one go."""
+        plain = spans(self.t.data, first + 1, np.maximum(last, first + 1))
+        escaped = np.flatnonzero(np.searchsorted(self.backslashes, last) > np.searchsorted(self.backslashes, first)) if len(self.backslashes) else []
+        if not len(escaped):
+            return plain
+        quoted = self.raw(first[escaped], last[escaped]).to_pylist()
+        decoded = _loads("[" + ",".join(quoted) + "]")
+        decoded = [_loads(q) for q in quoted] if decoded is None else decoded
+        place = np.arange(len(first))
+        place[escaped] = len(first) + np.arange(len(escaped))
+        return pa.concat_arrays([plain, pa.array(decoded, pa.string())]).take(pa.array(place))
+
 
 @dataclass
 class _Values:
-    """Values to look at: the text's place, first and last byte, and of each the record, parent path, kind and, for an
-    element, its index (-1: the member's own value)."""
+    """Values to look at: first and last byte, and of each the record, parent path and, for an element, its index (-1: the
+    member's own value)."""
 
     first: np.ndarray
     last: np.ndarray
     record: np.ndarray
-    parent: np.ndarray
+    parent: pa.Array
     index: np.ndarray
 
 
+@dataclass
+class _Found:
+    """Nodes in columns, piece by piece."""
+
+    record: list[np.ndarray] = field(default_factory=list)
+    columns: dict[str, list[pa.Array]] = field(default_factory=lambda: {c: [] for c in ("kind", "parent_path", "node_path", "fields")})
+
+    def add(self, record: np.ndarray, kind: str, parent: pa.Array, path: pa.Array, fields: pa.Array) -> None:
+        self.record.append(record)
+        for column, piece in zip(self.columns.values(), (pa.repeat(pa.scalar(kind, pa.string()), len(record)), parent, path, fields), strict=True):
+            column.append(piece)
+
+
 def _loads(text: str) -> object:
     try:
         return json.loads(text)
@@ -164,32 +196,51 @@ def _loads(text: str) -> object:
         return None
 
 
-def extract_nodes(texts: pa.Array, kinds: Kinds = CATALOG_KINDS) -> dict[str, list]:
-    """record (place in ``texts``), kind, parent_path, node_path, and ``keys`` and ``values`` of the node's scalar fields."""
-    out: dict[str, list] = {k: [] for k in ("record", "kind", "parent_path", "node_path", "keys", "values")}
+def _paths(parent: pa.Array, kind: str, index: np.ndarray) -> pa.Array:
+    """Each parent's path with ``kind[index]`` behind it."""
+    before = pc.if_else(pc.equal(parent, ""), "", pc.binary_join_element_wise(parent, "", "."))
+    return pc.binary_join_element_wise(before, f"{kind}[", pa.array(index).cast(pa.string()), "]", "")
+
+
+def _maps(owner: np.ndarray, n: int, keys: pa.Array, values: pa.Array) -> pa.Array:
+    """A map for each of ``n`` owners (ascending); of a repeated key the last value holds."""
+    codes = pc.dictionary_encode(keys).indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    pairs = owner * (codes.max(initial=0) + 1) + codes
+    _, from_end = np.unique(pairs[::-1], return_index=True)
+    if len(from_end) < len(pairs):
+        last = np.sort(len(pairs) - 1 - from_end)
+        owner, keys, values = owner[last], keys.take(pa.array(last)), values.take(pa.array(last))
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=n)))).astype(np.int32)
+    return pa.MapArray.from_arrays(pa.array(offsets), keys, values)
+
+
+def extract_nodes(texts: pa.Array, kinds: Kinds = CATALOG_KINDS) -> tuple[np.ndarray, dict[str, pa.Array]]:
+    """(record: place in ``texts``, columns kind, parent_path, node_path and fields, a map of the node's scalar fields)."""
+    out = _Found()
     # (texts, record of each, parent path of each, kind, index of each or -1); the first has no kind: whole records
-    work: list[tuple[pa.Array, np.ndarray, np.ndarray, str | None, np.ndarray]] = [(texts, np.arange(len(texts)), np.full(len(texts), "", object), None, np.full(len(texts), -1))]
+    work: list[tuple[pa.Array, np.ndarray, pa.Array, str | None, np.ndarray]] = [(texts, np.arange(len(texts)), pa.repeat(pa.scalar("", pa.string()), len(texts)), None, np.full(len(texts), -1))]
     while work:
         array, record, parent, kind, index = work.pop()
         ix = StructuralIndex(array)
         first = ix.next_ink[np.minimum(ix.t.start, len(ix.t.data))]
         last = ix.last_ink[ix.t.end]
         some = (ix.t.end > ix.t.start) & (first < ix.t.end)
-        start = _Values(first[some], last[some], record[some], parent[some], index[some])
+        start = _Values(first[some], last[some], record[some], parent.filter(pa.array(some)), index[some])
         if kind is None:
             tops = ix.container_at(start.first)
             ok = (tops >= 0) & (ix.t.at(start.first) == 0x7B)
-            todo = _members(ix, tops[ok], start.record[ok], start.parent[ok], kinds.top)
+            todo = _members(ix, tops[ok], start.record[ok], start.parent.filter(pa.array(ok)), kinds.top)
         else:
             todo = [(kind, start)]
         while todo:
             kind_, values = todo.pop()
             if len(values.first):
                 todo += _visit(ix, kind_, values, kinds, out, work)
-    return out
+    columns = {c: pa.concat_arrays(p) if p else pa.array([], pa.map_(pa.string(), pa.string()) if c == "fields" else pa.string()) for c, p in out.columns.items()}
+    return np.concatenate(out.record) if out.record else np.zeros(0, np.int64), columns
 
 
-def _members(ix: StructuralIndex, containers: np.ndarray, record: np.ndarray, parent: np.ndarray, names: tuple[str, ...]) -> list[tuple[str, _Values]]:
+def _members(ix: StructuralIndex, containers: np.ndarray, record: np.ndarray, parent: pa.Array, names: tuple[str, ...]) -> list[tuple[str, _Values]]:
     """The values of the named members of objects; of a repeated key the last."""
     slots, owner = ix.slots(containers)
     found = []
@@ -198,12 +249,12 @@ def _members(ix: StructuralIndex, containers: np.ndarray, record: np.ndarray, pa
         if len(hit):
             hit = hit[np.concatenate((owner[hit][1:] != owner[hit][:-1], [True]))]
             s, o = slots[hit], owner[hit]
-            found.append((name, _Values(ix.first[s], ix.last[s], record[o], parent[o], np.full(len(s), -1))))
+            found.append((name, _Values(ix.first[s], ix.last[s], record[o], parent.take(pa.array(o)), np.full(len(s), -1))))
     return found
 
 
-def _visit(ix: StructuralIndex, kind: str, v: _Values, kinds: Kinds, out: dict[str, list], work: list) -> list[tuple[str, _Values]]:
-    """Emits the nodes among ``v`` and returns the values below them; texts that hold JSON go to ``work``."""
+def _visit(ix: StructuralIndex, kind: str, v: _Values, kinds: Kinds, out: _Found, work: list) -> list[tuple[str, _Values]]:
+    """Adds the nodes among ``v`` and returns the values below them; texts that hold JSON go to ``work``, all in one array."""
     lead = ix.t.at(v.first)
     opened = ix.container_at(v.first)
     below: list[tuple[str, _Values]] = []
@@ -212,19 +263,33 @@ def _visit(ix: StructuralIndex, kind: str, v: _Values, kinds: Kinds, out: dict[s
     if listed.any():
         slots, owner = ix.slots(opened[listed])
         src = np.flatnonzero(listed)[owner]
-        below.append((kind, _Values(ix.first[slots], ix.last[slots], v.record[src], v.parent[src], ix.number[slots])))
+        below.append((kind, _Values(ix.first[slots], ix.last[slots], v.record[src], v.parent.take(pa.array(src)), ix.number[slots])))
     at = np.maximum(v.index, 0)
+
+    def bare(which: np.ndarray, texts: pa.Array) -> None:
+        if len(which):
+            parent = v.parent.take(pa.array(which))
+            fields = _maps(np.arange(len(which)), len(which), pa.repeat(pa.scalar(kinds.bare_field, pa.string()), len(which)), texts)
+            out.add(v.record[which], kind, parent, _paths(parent, kind, at[which]), fields)
+
     # texts: JSON within, or a bare value
-    for i in np.flatnonzero(lead == QUOTE):
-        text = _loads(ix.text(v.first[i], v.last[i]))
-        body = text.strip() if isinstance(text, str) else ""
-        if body[:1] in ("{", "[") and _loads(body) is not None:
-            work.append((pa.array([body]), v.record[i : i + 1], v.parent[i : i + 1], kind, v.index[i : i + 1]))
-        elif body and kind in kinds.bare:
-            _emit(out, v.record[i], kind, v.parent[i], at[i], [kinds.bare_field], [text])
+    held = np.flatnonzero(lead == QUOTE)
+    if len(held):
+        texts = ix.strings(v.first[held], v.last[held]).fill_null("")
+        bodies = pc.utf8_trim_whitespace(texts)
+        opens = pc.match_substring_regex(bodies, r"^[{\[]").to_numpy(zero_copy_only=False)
+        json_like = np.flatnonzero(opens)
+        json_like = json_like[[_loads(b) is not None for b in bodies.take(pa.array(json_like)).to_pylist()]] if len(json_like) else json_like
+        if len(json_like):
+            src = held[json_like]
+            work.append((bodies.take(pa.array(json_like)), v.record[src], v.parent.take(pa.array(src)), kind, v.index[src]))
+        if kind in kinds.bare:
+            other = pc.not_equal(bodies, "").to_numpy(zero_copy_only=False)
+            other[json_like] = False
+            bare(held[other], texts.filter(pa.array(other)))
     if kind in kinds.bare:
-        for i in np.flatnonzero(((lead >= 0x30) & (lead <= 0x39)) | (lead == 0x2D)):
-            _emit(out, v.record[i], kind, v.parent[i], at[i], [kinds.bare_field], [ix.text(v.first[i], v.last[i])])
+        numbers = np.flatnonzero(((lead >= 0x30) & (lead <= 0x39)) | (lead == 0x2D))
+        bare(numbers, ix.raw(v.first[numbers], v.last[numbers]))
     # objects with a field that isn't null
     objects = np.flatnonzero((lead == 0x7B) & (opened >= 0))
     if not len(objects):
@@ -232,35 +297,17 @@ def _visit(ix: StructuralIndex, kind: str, v: _Values, kinds: Kinds, out: dict[s
     slots, owner = ix.slots(opened[objects])
     null = (ix.t.at(ix.first[slots]) == ord("n")) & (ix.last[slots] - ix.first[slots] == 3)
     filled = np.bincount(owner[~null], minlength=len(objects)) > 0
-    scalar = ~null & (ix.container_at(ix.first[slots]) < 0)
-    lo = np.searchsorted(owner, np.arange(len(objects)), "left")
-    hi = np.searchsorted(owner, np.arange(len(objects)), "right")
-    paths = np.full(len(objects), "", object)
-    data = ix.t.data
-    for j in np.flatnonzero(filled):
-        i = objects[j]
-        mine = [k for k in range(lo[j], hi[j]) if scalar[k]]
-        names, texts = [], []
-        for k in mine:
-            s = slots[k]
-            key = data[ix.key_first[s] + 1 : ix.key_last[s]].tobytes().decode()
-            value = data[ix.first[s] : ix.last[s] + 1].tobytes().decode()
-            key = _loads(f'"{key}"') if "\\" in key else key
-            if value[:1] == '"':
-                value = _loads(value) if "\\" in value else value[1:-1]
-            names.append(key)
-            texts.append(value)
-        paths[j] = _emit(out, v.record[i], kind, v.parent[i], at[i], names, texts)
     keep = np.flatnonzero(filled)
     src = objects[keep]
-    return below + _members(ix, opened[src], v.record[src], paths[keep], kinds.within.get(kind, ()))
-
-
-def _emit(out: dict[str, list], record: int, kind: str, parent: str, index: int, names: list, texts: list) -> str:
-    path = f"{parent}.{kind}[{index}]" if parent else f"{kind}[{index}]"
-    for k, x in zip(out, (int(record), kind, parent, path, names, texts), strict=True):
-        out[k].append(x)
-    return path
+    scalar = np.flatnonzero(~null & (ix.container_at(ix.first[slots]) < 0) & filled[owner])
+    s, new_owner = slots[scalar], (np.cumsum(filled) - 1)[owner[scalar]]
+    quoted = ix.t.at(ix.first[s]) == QUOTE
+    keys = ix.strings(ix.key_first[s], ix.key_last[s]).fill_null("")
+    values = pc.if_else(pa.array(quoted), ix.strings(ix.first[s], np.where(quoted, ix.last[s], ix.first[s] + 1)), ix.raw(ix.first[s], np.where(quoted, ix.first[s], ix.last[s])))
+    parent = v.parent.take(pa.array(src))
+    paths = _paths(parent, kind, at[src])
+    out.add(v.record[src], kind, parent, paths, _maps(new_owner, len(src), keys, values))
+    return below + _members(ix, opened[src], v.record[src], paths, kinds.within.get(kind, ()))
 
 
 def flatten_records(df: DataFrame, key: str, payload: str, kinds: Kinds = CATALOG_KINDS) -> DataFrame:
@@ -278,12 +325,8 @@ def flatten_records(df: DataFrame, key: str, payload: str, kinds: Kinds = CATALO
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, [1], PIECE_BYTES):
-                got = extract_nodes(part.column(1), kinds)
-                pairs = [list(dict(zip(k, x, strict=True)).items()) for k, x in zip(got["keys"], got["values"], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(got["record"], pa.int64())), pa.array(got["kind"], pa.string()), pa.array(got["parent_path"], pa.string()), pa.array(got["node_path"], pa.string()), pa.array(pairs, pa.map_(pa.string(), pa.string()))],
-                    names=[key, "kind", "parent_path", "node_path", "fields"],
-                )
+                record, columns = extract_nodes(part.column(1), kinds)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(record)), *columns.values()], names=[key, *columns])
 
     return narrow.mapInArrow(scan, schema)
 
