@@ -233,13 +233,23 @@ def extract_nodes(texts: pa.Array, kinds: Kinds = CATALOG_KINDS) -> tuple[np.nda
         else:
             todo = [(kind, start)]
         while todo:
-            kind_, values = todo.pop()
-            if len(values.first):
-                todo += _visit(ix, kind_, values, kinds, out, work)
+            # level by level, all values of a kind at once
+            level: dict[str, list[_Values]] = {}
+            for kind_, values in todo:
+                if len(values.first):
+                    level.setdefault(kind_, []).append(values)
+            todo = [below for kind_, parts in level.items() for below in _visit(ix, kind_, _together(parts), kinds, out, work)]
     columns = {c: pa.concat_arrays(p) if p else pa.array([], pa.map_(pa.string(), pa.string()) if c == "fields" else pa.string()) for c, p in out.columns.items()}
     return np.concatenate(out.record) if out.record else np.zeros(0, np.int64), columns
 
 
+def _together(parts: list[_Values]) -> _Values:
+    if len(parts) == 1:
+        return parts[0]
+    whole = {c: np.concatenate([getattr(p, c) for p in parts]) for c in ("first", "last", "record", "index")}
+    return _Values(parent=pa.concat_arrays([p.parent for p in parts]), **whole)
+
+
 def _members(ix: StructuralIndex, containers: np.ndarray, record: np.ndarray, parent: pa.Array, names: tuple[str, ...]) -> list[tuple[str, _Values]]:
     """The values of the named members of objects; of a repeated key the last."""
     slots, owner = ix.slots(containers)
