@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import hierarchy, nested, packed, spatial
+from ..operators import hierarchy, nested, packed, regions, spatial
 from ..session import table
 from ..sources import form
 
@@ -41,6 +41,18 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.near_pairs(boxes, "box_id", lat, lon, F.col("mdb_source_id"), NEAR_KM).select(F.col("a").alias("box_a"), F.col("b").alias("box_b"))
 
 
+def p3_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smallest feed box, by each feed's latest row, that contains the centre of each box."""
+    names = ("minimum_latitude", "maximum_latitude", "minimum_longitude", "maximum_longitude")
+    corners = [F.col(c) for c in names]
+    lat, lon = spatial.box_centre(*corners)
+    feeds = table(spark, sf_dir, "schedule_feeds").filter(F.col("mdb_source_id").isNotNull())
+    latest = feeds.groupBy("mdb_source_id").agg(F.max(F.struct("loaded_at", "feed_row_id", F.struct(*[F.col(f"location.bounding_box.{c}") for c in names]).alias("box"))).alias("row"))
+    areas = latest.select("row.feed_row_id", "row.box.*").filter(spatial.usable_box(*corners))
+    boxes = table(spark, sf_dir, "box_log").filter(spatial.usable_box(*corners))
+    return regions.containing(boxes, "box_id", lat, lon, regions.boxes_of(areas, "feed_row_id", *corners)).withColumnRenamed("region", "feed_row_id")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = {"features": F.col("features"), "entity_type": F.col("entity_type"), "static_reference": F.col("static_reference"), "redirect.id": F.col("redirect.id")}
     return packed.unpack(table(spark, sf_dir, "sources"), "src_row", fields)
@@ -92,6 +104,7 @@ def queries() -> dict:
         "p1_found": p1_found,
         **{f"p1_{kind}": _p1_flat(kind) for kind in NODE_COLUMNS},
         "p3_found": p3_found,
+        "p3_regions": p3_regions,
         "p4_found": p4_found,
         "p5_found": p5_found,
         "p5_paths": p5_paths,
@@ -142,6 +155,18 @@ def _flat_sql(kind: str) -> str:
     return f"{_NODES} SELECT record_id, parent_path, node_path, {', '.join(columns)} FROM nodes WHERE kind = '{kind}'"
 
 
+_P3_REGIONS = """
+WITH l AS (SELECT feed_row_id, location.bounding_box AS b, row_number() OVER (PARTITION BY mdb_source_id ORDER BY loaded_at DESC NULLS LAST, feed_row_id DESC) AS k FROM schedule_feeds WHERE mdb_source_id IS NOT NULL),
+u AS (SELECT feed_row_id, least(b.minimum_latitude, b.maximum_latitude) AS s, greatest(b.minimum_latitude, b.maximum_latitude) AS n, b.minimum_longitude AS w, b.maximum_longitude AS e FROM l WHERE k = 1
+ AND b.minimum_latitude BETWEEN -90 AND 90 AND b.maximum_latitude BETWEEN -90 AND 90 AND b.minimum_longitude BETWEEN -180 AND 180 AND b.maximum_longitude BETWEEN -180 AND 180
+ AND NOT (b.minimum_latitude = 0 AND b.maximum_latitude = 0 AND b.minimum_longitude = 0 AND b.maximum_longitude = 0)),
+r AS (SELECT *, (CASE WHEN w > e THEN e - w + 360 ELSE e - w END) * (n - s) AS area FROM u),
+p AS (SELECT box_id, (minimum_latitude + maximum_latitude) / 2 AS lat, (minimum_longitude + maximum_longitude) / 2 AS mid, minimum_longitude > maximum_longitude AS across FROM box_log
+ WHERE minimum_latitude BETWEEN -90 AND 90 AND maximum_latitude BETWEEN -90 AND 90 AND minimum_longitude BETWEEN -180 AND 180 AND maximum_longitude BETWEEN -180 AND 180
+ AND NOT (minimum_latitude = 0 AND maximum_latitude = 0 AND minimum_longitude = 0 AND maximum_longitude = 0)),
+q AS (SELECT box_id, lat, CASE WHEN NOT across THEN mid WHEN mid >= 0 THEN mid - 180 ELSE mid + 180 END AS lon FROM p)
+SELECT box_id, arg_min(feed_row_id, (area, feed_row_id)) AS feed_row_id FROM q LEFT JOIN r ON lat BETWEEN s AND n AND CASE WHEN w > e THEN lon >= w OR lon <= e ELSE lon BETWEEN w AND e END GROUP BY box_id
+"""
 _P3 = f"""
 WITH b AS (
   SELECT box_id, mdb_source_id, radians((minimum_latitude + maximum_latitude) / 2) AS lat,
@@ -213,6 +238,7 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": f"{_NODES} SELECT record_id, parent_path, node_path FROM nodes",
         **{f"p1_{kind}": _flat_sql(kind) for kind in NODE_COLUMNS},
         "p3_found": _P3,
+        "p3_regions": _P3_REGIONS,
         "p4_found": _P4,
         "p5_found": f"{_WALK} SELECT id AS mdb_source_id, CASE WHEN looped THEN '' ELSE cur END AS root_id, CAST(CASE WHEN looped THEN -1 ELSE len(path) - 1 END AS INTEGER) AS depth FROM ends",
         "p5_paths": f"{_WALK} SELECT id AS mdb_source_id, array_to_string(path, '>') AS path, cur AS root_id, CAST(len(path) - 1 AS INTEGER) AS depth FROM ends WHERE NOT looped",
