@@ -30,7 +30,7 @@ _DOUBLE = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ð": "d"}
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at the ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(" \t\n\v\f\r"))
 
 
 @F.pandas_udf(T.StringType())
@@ -138,16 +138,25 @@ def issue_type(c: Column) -> Column:
 def data_type(c: Column, specific: bool = False) -> Column:
     """Texts of fewer than three characters are unknown. By the order, ``Realtime - Trip Updates`` is Realtime; ``specific``
     tries the entity types first."""
-    text = F.regexp_replace(F.lower(c), r"\s+", "")
+    return F.when(F.length(c) >= 3, kind_of(unspaced(c), specific)).otherwise(F.lit(UNKNOWN_TYPE))
+
+
+def unspaced(c: Column) -> Column:
+    return F.regexp_replace(F.lower(c), r"\s+", "")
+
+
+def kind_of(text: Column, specific: bool = False) -> Column:
+    """The data type of a text from ``unspaced``."""
     words = [(code, (w,)) for w, code in DATA_TYPE_WORDS]
     if specific:
         words = [words[0], *words[2:], words[1]]
-    return F.when(F.length(c) >= 3, first_match(text, words, UNKNOWN_TYPE)).otherwise(F.lit(UNKNOWN_TYPE))
+    return first_match(text, words, UNKNOWN_TYPE)
 
 
 def found_date(c: Column, default: str = "01/01/1970", both_forms: bool = True) -> Column:
     """The first date in the text as MM/dd/yyyy; ``both_forms`` also reads yyyy-MM-dd, which a strict parser of the first form
     turns into the default."""
+    # fixed value: what counts as a date within a text
     found = F.regexp_extract(c, r"[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2}", 0)
     day = F.try_to_date(found, "M/d/yyyy")
     if both_forms:

@@ -28,28 +28,35 @@ CALLS = {
 OPTIONAL = ("provider", "entity_type", "country_code", "authentication_type", "authentication_info_url", "api_key_parameter_name", "subdivision_name", "municipality", "license_url", "name", "status", "features", "note", "feed_contact_email", "redirects")
 
 
+_TEXTS = ("timestamp", "provider", "issue_type", "downloadurl", "country", "subdivision", "municipality", "name", "license_url", "auth_type", "auth_info_url", "api_key_name", "note", "status", "email")
+
+
 def prepared(rows: DataFrame, order: str) -> DataFrame:
     """Form rows (columns as in ``sources.form.FORM_FIELDS``) ready for calls: trimmed, classified, with the last known provider
     suggested where there is none."""
-    strip = lambda n: tx.strip(F.coalesce(F.col(n), F.lit("")))
-    known = forward_fill(rows, [order], F.nullif(strip("provider"), F.lit("")), "known_provider")
+    # one column for each stripped text, so that nothing below strips again
+    stripped = {n: tx.strip(F.coalesce(F.col(n), F.lit(""))).alias(n) for n in _TEXTS}
+    kept = [order, *(c for c in ("__part",) if c in rows.columns)]
+    rows = rows.select(*kept, *stripped.values(), *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in ("datatype", "old_id", "redirects")])
+    known = forward_fill(rows, [order], F.nullif("provider", F.lit("")), "known_provider")
     suggestion = F.concat(F.lit(TO_BE_PROVIDED + " ("), F.coalesce("known_provider", F.lit(TO_BE_PROVIDED)), F.lit(" ?)"))
+    known = known.withColumns({"low_issue": F.lower("issue_type"), "low_type": tx.unspaced(F.col("datatype"))})
     own = {
-        "provider": F.when(strip("provider") == "", suggestion).otherwise(strip("provider")),
-        "issue": tx.issue_type(strip("issue_type")),
-        "kind": tx.data_type(F.coalesce("datatype", F.lit(""))),
-        "day": tx.found_date(strip("timestamp")),
-        "direct_download_url": valid_address(strip("downloadurl")),
-        "license_url": valid_address(strip("license_url")),
-        "mdb_source_id": tx.whole_number(F.regexp_replace(F.coalesce("old_id", F.lit("")), '^"+|"+$', ""), 0),
-        "authentication_type": tx.whole_number(strip("auth_type"), 0),
-        "authentication_info_url": strip("auth_info_url"),
-        "api_key_parameter_name": strip("api_key_name"),
-        "country_code": strip("country"),
-        "subdivision_name": strip("subdivision"),
-        "feed_contact_email": strip("email"),
-        "redirect": tx.redirect_list(F.coalesce("redirects", F.lit(""))),
-        **{n: strip(n) for n in ("municipality", "name", "note", "status")},
+        "provider": F.when(F.col("provider") == "", suggestion).otherwise(F.col("provider")),
+        "issue": tx.first_match(F.col("low_issue"), list(tx.ISSUE_WORDS), "unknown"),
+        "kind": tx.kind_of(F.col("low_type")),
+        "day": tx.found_date(F.col("timestamp")),
+        "direct_download_url": valid_address(F.col("downloadurl")),
+        "license_url": valid_address(F.col("license_url")),
+        "mdb_source_id": tx.whole_number(F.btrim("old_id", F.lit('"')), 0),
+        "authentication_type": tx.whole_number(F.col("auth_type"), 0),
+        "authentication_info_url": F.col("auth_info_url"),
+        "api_key_parameter_name": F.col("api_key_name"),
+        "country_code": F.col("country"),
+        "subdivision_name": F.col("subdivision"),
+        "feed_contact_email": F.col("email"),
+        "redirect": tx.redirect_list(F.col("redirects")),
+        **{n: F.col(n) for n in ("municipality", "name", "note", "status")},
     }
     return known.select(order, *[c.alias(n) for n, c in own.items()])
 
@@ -62,6 +69,8 @@ def _call(verb: str, kind: str, shown: Mapping[str, Column]) -> Column:
 def call_text(df: DataFrame, order: str) -> DataFrame:
     """(order, command): one call for each row with a known kind; unknown issues count as new feeds, removals are updates under a
     name that says so."""
+    # a kind that is known always gives a call; the calls themselves needn't be looked at to leave out the others
+    df = df.filter(F.col("kind") != tx.UNKNOWN_TYPE)
     values = {c: F.col(c) for c in df.columns} | {"entity_type": F.concat(F.lit('["'), F.col("kind"), F.lit('"]'))}
     values["name"] = F.when(F.col("issue") == "removed", F.lit(REMOVAL_NAME)).otherwise(F.col("name"))
     shown = {}
@@ -77,8 +86,8 @@ def call_text(df: DataFrame, order: str) -> DataFrame:
     shown = {a: F.col(f"`__{a}`") for a in shown}
     updates = F.col("issue").isin("Feed update", "removed")
     out = F.when(F.col("kind") == "Schedule", F.when(updates, _call("update", "schedule", shown)).otherwise(_call("add", "schedule", shown)))
-    out = out.when(F.col("kind") != tx.UNKNOWN_TYPE, F.when(updates, _call("update", "realtime", shown)).otherwise(_call("add", "realtime", shown)))
-    return args.select(order, tx.typographic(out).alias("command")).filter("command IS NOT NULL")
+    out = out.otherwise(F.when(updates, _call("update", "realtime", shown)).otherwise(_call("add", "realtime", shown)))
+    return args.select(order, tx.typographic(out).alias("command"))
 
 
 def script(calls: DataFrame, order: str) -> DataFrame:

@@ -13,10 +13,16 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 
-def _in_parts(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Range-partitioned with the part's number; cut, since a second sampling might divide the rows differently."""
+def ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Range-partitioned with the part's number, ``__part``. Done before costly maps, so that the ranges are sampled without them;
+    ``forward_fill`` then takes the parts as they are."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut(df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()))
+    return df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id())
+
+
+def _in_parts(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """In parts, and cut, since a second sampling might divide the rows differently."""
+    return cut(df if "__part" in df.columns else ranged(df, order))
 
 
 def row_numbers(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:

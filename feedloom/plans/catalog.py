@@ -557,7 +557,7 @@ def export_all(spark, sf_dir):
 
 
 def _form(spark, sf_dir):
-    return load_form(table(spark, sf_dir, "form_lines").select("line_id", "line"))[0]
+    return load_form(ordered.ranged(table(spark, sf_dir, "form_lines").select("line_id", "line"), ["line_id"]))[0]
 
 
 @query()
