@@ -1,3 +1,8 @@
+import random
+import re
+
+import numpy as np
+
 from feedloom.llm import leakage as lk
 
 ITEM = "Read the passage. The shared caption mentions 365 labourers and a seasonal signal paid for by Mazancre Transit Authority after a vote of 70 against 332."
@@ -51,9 +56,39 @@ def test_empty_tables_and_short_items(spark):
     assert found(spark, [(1, ITEM, "")], [(1, None)]) == []
 
 
-def test_without_the_filter(spark, monkeypatch):
-    monkeypatch.setattr(lk, "FILTER_HASHES", 3)
-    assert found(spark, [(1, "Before. " + ITEM, "")]) == [(1, 1)]
+def test_a_full_filter_and_a_shuffled_join_change_nothing(spark, monkeypatch):
+    renamed = ITEM.replace("365", "17").replace("Mazancre", "Wolfram").replace("70", "9").replace("332", "4")
+    docs = [(i, "Before. " + (ITEM if i % 3 else renamed), "") for i in range(12)]
+    items = [(1, ITEM), (2, ITEM + " And more."), (3, "the tram carries 5 riders and the same 5 riders come back at night")]
+    want = found(spark, docs, items), found(spark, docs, items, lk.reparameterised)
+    assert want[0] == [(i, j) for i in range(12) if i % 3 for j in (1, 2)] and {r[0] for r in want[1]} == {0, 3, 6, 9}
+    monkeypatch.setattr(lk, "BLOOM_BYTES", 16)
+    monkeypatch.setattr(lk, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr("feedloom.operators.skew.HOT_ROWS", 4)
+    assert found(spark, docs, items) == want[0]
+
+
+def test_bloom():
+    rng = np.random.default_rng(1)
+    own, other = rng.integers(-(2**63), 2**63 - 1, 5000), rng.integers(-(2**63), 2**63 - 1, 20000)
+    b = lk.Bloom(np.zeros(lk.Bloom.size(5000), np.uint8))
+    b.add(own)
+    assert b.may_hold(own).all() and b.may_hold(other).mean() < 0.01
+
+
+def test_renamed_items_are_found(spark, data):
+    """Recall on items of the suite whose numbers are replaced, one by one."""
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{data}/eval_items.parquet").collect()]
+    rng = random.Random(4)
+    docs, want = [], set()
+    for i, text in items:
+        slots = {n: str(rng.randint(1000, 9999)) for n in re.findall(r"\b[0-9]+\b", text)}
+        words = re.findall(r"[^\W_]+", text)
+        if any(w in slots for w in words[:12]) and len(words) >= 12 and len(set(slots.values())) == len(slots):
+            docs.append((i, re.sub(r"\b[0-9]+\b", lambda m: slots[m[0]], text), ""))
+            want.add((i, i))
+    got = {(d, i) for d, _, i in found(spark, docs, items, lk.reparameterised)}
+    assert len(want) > 20 and len(want & got) / len(want) >= 0.95
 
 
 def test_very_long_text(spark):
