@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ..functions.text import base_name, id_order
 from ..operators.merge import override_union
 from ..schema import REALTIME, REALTIME_RAW_ONLY, SCHEDULE
+from ..session import cut
 
 
 def read_json_files(spark: SparkSession, path: str, schema: T.StructType, recursive: bool = True, strict: bool = False) -> DataFrame:
@@ -20,9 +21,14 @@ def read_json_files(spark: SparkSession, path: str, schema: T.StructType, recurs
 
 
 def last_of_each(df: DataFrame, key: str, order: Column | str) -> DataFrame:
-    """One row for each key, the last by ``order``; rows of a null key are dropped."""
-    w = Window.partitionBy(key).orderBy(F.desc(order) if isinstance(order, str) else order.desc())
-    return df.filter(F.col(key).isNotNull()).withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    """One row for each key, the last by ``order`` (of equal ones any); rows of a null key are dropped.
+
+    A maximum over structs, so it is pre-aggregated before the shuffle and no hot key gathers in a task.
+    """
+    others = [c for c in df.columns if c != key]
+    last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in others]), F.struct(order)).alias("__row")
+    best = df.filter(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`")).agg(last)
+    return best.select(*[F.col(f"`{c}`") if c == key else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
 
 
 def read_catalog(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -67,13 +73,30 @@ def readable(df: DataFrame, required: list[str]) -> DataFrame:
 
 
 def read_csv_lines(spark: SparkSession, path: str, columns: list[str], naive: bool = False) -> DataFrame:
-    """Rows of a CSV text with ``row_no`` within its file. ``naive`` splits at every comma, quotes or not, and fails on a row of
-    too few columns."""
+    """Rows of CSV texts with ``file_name`` and ``row_no``, from 1 within each file. ``naive`` splits at every comma, quotes or not,
+    and fails on a row of too few columns."""
     if not naive:
-        return spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).option("multiLine", True).option("escape", '"').csv(path)
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        return numbered_lines(spark.read.schema(schema).option("multiLine", True).option("escape", '"').csv(path))
     cells = F.split("value", ",")
     checked = F.when(F.size(cells) >= len(columns), cells).otherwise(F.raise_error(F.concat(F.lit("too few columns: "), F.size(cells).cast("string"))))
-    return spark.read.text(path).select(checked.alias("c")).select(*[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(columns)])
+    lines = numbered_lines(spark.read.text(path))
+    return lines.select("file_name", "row_no", checked.alias("c")).select(*[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(columns)], "file_name", "row_no")
+
+
+def numbered_lines(rows: DataFrame) -> DataFrame:
+    """``rows`` as read from files, with ``file_name`` and ``row_no``.
+
+    The rows are numbered within each block that a task read, behind the rows of the file's blocks before it; only the blocks'
+    counts, one row each, meet in the order of the file.
+    """
+    placed = cut(rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__at")))
+    counts = placed.groupBy("__file", "__block").count()
+    before = F.coalesce(F.sum("count").over(Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = counts.select(F.col("__file").alias("__f"), F.col("__block").alias("__b"), before.alias("__before"))
+    within = placed.withColumn("__n", F.row_number().over(Window.partitionBy("__file", "__block").orderBy("__at")))
+    joined = within.join(before, (F.col("__file") == F.col("__f")) & (F.col("__block") == F.col("__b")))
+    return joined.select(*rows.columns, F.url_decode(F.replace(F.element_at(F.split("__file", "/"), -1), F.lit("+"), F.lit("%2B"))).alias("file_name"), (F.col("__n") + F.col("__before")).alias("row_no"))
 
 
 def row_range(df: DataFrame, spec: str, number: str = "row_no") -> DataFrame:

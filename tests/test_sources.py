@@ -1,6 +1,7 @@
 import io
 import json
 import zipfile
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,11 +46,29 @@ def test_catalog_files(spark, folders):
 
 
 def test_csv_lines(spark, tmp_path):
-    write(tmp_path / "c", "x.csv", '"a,1",b\nc,"d"\n')
-    assert {tuple(r) for r in catalog.read_csv_lines(spark, str(tmp_path / "c"), ["p", "q"]).collect()} == {("a,1", "b"), ("c", "d")}
-    assert ('"a', '1"') in {tuple(r) for r in catalog.read_csv_lines(spark, str(tmp_path / "c"), ["p", "q"], naive=True).collect()}
+    write(tmp_path / "c", "x.csv", '"a,1",b\nc,"d\ne"\n"f",g\n')
+    write(tmp_path / "c", "y+z.csv", "h,i\nj,k\n")
+    quoted = catalog.read_csv_lines(spark, str(tmp_path / "c"), ["p", "q"])
+    assert {tuple(r) for r in quoted.collect()} == {("a,1", "b", "x.csv", 1), ("c", "d\ne", "x.csv", 2), ("f", "g", "x.csv", 3), ("h", "i", "y+z.csv", 1), ("j", "k", "y+z.csv", 2)}
+    assert [r["p"] for r in catalog.row_range(quoted, "2:3").orderBy("p").collect()] == ["c", "f", "j"]
+    assert ("h", "i", "y+z.csv", 1) in {tuple(r) for r in catalog.read_csv_lines(spark, f"{tmp_path}/c/y+z.csv", ["p", "q"], naive=True).filter("row_no = 1").collect()}
     with pytest.raises(Exception, match="too few columns"):
         catalog.read_csv_lines(spark, str(tmp_path / "c"), ["p", "q", "r", "s"], naive=True).collect()
+
+
+def test_rows_of_divided_files_are_numbered_in_order(spark, tmp_path):
+    write(tmp_path / "big", "x.txt", "".join(f"line {i},{'z' * (i % 50)}\n" for i in range(1, 20001)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        got = catalog.read_csv_lines(spark, str(tmp_path / "big"), ["p", "q"], naive=True)
+        assert spark.read.text(f"{tmp_path}/big").rdd.getNumPartitions() > 3 and got.filter(F.col("p") != F.concat(F.lit("line "), "row_no")).count() == 0 and got.count() == 20000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_last_of_each_and_ranges(spark):
+    got = catalog.last_of_each(spark.createDataFrame([("a", 1, None), ("a", 3, "x"), ("a", 2, "y"), (None, 9, "z"), ("b", None, "w")], "k string, o int, v string"), "k", "o")
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 3, "x"), ("b", None, "w")]
     df = spark.range(1, 21).withColumnRenamed("id", "row_no")
     assert catalog.row_range(df, "5").count() == 1 and catalog.row_range(df, "3:10").count() == 8
     with pytest.raises(ValueError):
@@ -87,10 +106,14 @@ def test_datasets(spark, datasets):
     assert gtfs.read_member(spark, datasets, "nothing.txt", {"x": "string"}).count() == 0
 
 
-def test_unreadable_dataset(spark, tmp_path):
-    (tmp_path / "bad.zip").write_bytes(b"no zip")
-    with pytest.raises(Exception, match="readable dataset"):
-        gtfs.read_manifest(spark, str(tmp_path)).collect()
+def test_unreadable_datasets_are_rows_of_their_own(spark, datasets):
+    with open(f"{datasets}/bad.zip", "wb") as f:
+        f.write(b"no zip")
+    assert {r[0] for r in gtfs.read_manifest(spark, datasets).collect()} == {"a", "b"}
+    assert [(r["dataset_id"], "readable" in r["error"]) for r in gtfs.read_errors(spark, datasets).collect()] == [("bad", True)]
+    rows = gtfs.read_members(spark, datasets, ["stops.txt", "trips.txt", "empty.txt"])
+    assert {(r["dataset_id"], r["entry_name"], r["n"]) for r in rows.groupBy("dataset_id", "entry_name").agg(F.max("line_no").alias("n")).collect()} == {("a", "stops.txt", 3), ("a", "trips.txt", 1), ("b", "stops.txt", 1), ("b", "empty.txt", 0)}
+    assert gtfs.data_rows(gtfs.member_of(rows, "stops.txt", {"stop_lon": "double"})).filter("dataset_id = 'a'").orderBy("line_no").collect()[2]["stop_lon"] is None
 
 
 def test_sinks(spark, tmp_path):
@@ -106,6 +129,11 @@ def test_sinks(spark, tmp_path):
         sinks.write_log(df, f"{tmp_path}/log", F.concat(F.lit("row "), F.col("id").cast("string")))
         sinks.append_block(df, f"{tmp_path}/block", {"id": "number", "name": "label"})
     assert spark.read.text(f"{tmp_path}/log").count() == 2 and spark.read.parquet(f"{tmp_path}/block").columns == ["number", "label"]
+    sinks.write_workbook({"Rules & more": df.select("id", "name"), "Count": df.filter("id > 1")}, f"{tmp_path}/book.xlsx")
+    with zipfile.ZipFile(f"{tmp_path}/book.xlsx") as z:
+        first, names = ElementTree.fromstring(z.read("xl/worksheets/sheet1.xml")), ElementTree.fromstring(z.read("xl/workbook.xml"))
+    assert ["".join(c.itertext()) for c in first.iter() if c.tag.endswith("}c")] == ["id", "name", "1", "é "]
+    assert [x.get("name") for x in names.iter() if x.tag.endswith("}sheet")] == ["Rules & more", "Count"]
     sinks.write_sheets({"Rules": df.select("id"), "Count": df.select("name")}, f"{tmp_path}/book")
     sinks.replace_table(df, f"{tmp_path}/block")
     assert spark.read.parquet(f"{tmp_path}/block").count() == 1 and spark.read.option("header", True).csv(f"{tmp_path}/book/Count").count() == 1
