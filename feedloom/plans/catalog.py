@@ -167,9 +167,15 @@ def file_names(spark, sf_dir):
     return named.withColumn("latest", tx.latest_url(F.col("name"), "https://archive.example/{filename}?alt=media"))
 
 
-@query(f"SELECT rt_row_id, concat_ws('-', 'unknown', 'unknown', {_normal_sql('coalesce(name, provider)')}, 'gtfs-rt-' || array_to_string(entity_type, '-'), mdb_source_id) || '.json' AS name FROM realtime_feeds")
+@query(_LATEST + f""", p AS (SELECT t.rt_row_id, t.name, t.provider, t.entity_type, t.mdb_source_id, CASE WHEN coalesce(len(t.static_reference), 0) = 0 THEN 'unknown' ELSE s.location.country_code END AS c, CASE WHEN coalesce(len(t.static_reference), 0) = 0 THEN 'unknown' ELSE s.location.subdivision_name END AS d
+FROM realtime_feeds t LEFT JOIN s ON trim(t.static_reference[1]) = s.mdb_source_id)
+SELECT rt_row_id, concat_ws('-', {_normal_sql("coalesce(c, 'None')")}, {_normal_sql("coalesce(d, 'None')")}, {_normal_sql('coalesce(name, provider)')}, 'gtfs-rt-' || array_to_string(entity_type, '-'), mdb_source_id) || '.json' AS name FROM p""")
 def realtime_file_names(spark, sf_dir):
-    return realtime(spark, sf_dir).select("rt_row_id", tx.realtime_filename(F.lit("unknown"), F.lit("unknown"), F.col("provider"), F.col("name"), F.col("entity_type"), F.col("mdb_source_id")).alias("name"))
+    """By the country and subdivision of the first static row."""
+    unknown = F.struct(F.lit("unknown").alias("country_code"), F.lit("unknown").alias("subdivision_name"))
+    places = latest_schedule(spark, sf_dir).select("mdb_source_id", F.struct("location.country_code", "location.subdivision_name").alias("place"))
+    rows = lookup.first_reference(realtime(spark, sf_dir), "static_reference", places, "mdb_source_id", "place", unknown)
+    return rows.select("rt_row_id", tx.realtime_filename(F.col("place.country_code"), F.col("place.subdivision_name"), F.col("provider"), F.col("name"), F.col("entity_type"), F.col("mdb_source_id")).alias("name"))
 
 
 @query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS iso FROM events")
@@ -472,29 +478,35 @@ def ordered_ids(spark, sf_dir):
     return ordered.row_numbers(rows, ["number", "mdb_source_id", "feed_row_id"]).select("feed_row_id", "row_no")
 
 
-_READY = """WITH u AS (SELECT feed_row_id, 'feed-' || feed_row_id AS base, urls.direct_download AS direct, urls.latest AS latest, urls.api_key_parameter_name AS key FROM schedule_feeds WHERE status IS NULL OR status <> 'deprecated')"""
+_READY = """WITH u AS (SELECT feed_row_id, 'feed-' || feed_row_id || '-' || coalesce(provider, '') AS base, urls.direct_download AS direct, urls.latest AS latest, urls.api_key_parameter_name AS key, urls.authentication_type AS auth FROM schedule_feeds WHERE status IS NULL OR status <> 'deprecated')"""
+_ASCII = "('\"' || array_to_string(list_transform(regexp_extract_all({0}, '(?s).'), lambda c: CASE WHEN c IN ('\"', chr(92)) THEN chr(92) || c WHEN unicode(c) BETWEEN 32 AND 126 THEN c WHEN c = chr(10) THEN chr(92) || 'n' WHEN c = chr(9) THEN chr(92) || 't' WHEN c = chr(13) THEN chr(92) || 'r' WHEN unicode(c) < 65536 THEN chr(92) || format('u{{:04x}}', unicode(c)) ELSE chr(92) || format('u{{:04x}}', 55296 + (unicode(c) - 65536) // 1024) || chr(92) || format('u{{:04x}}', 56320 + (unicode(c) - 65536) % 1024) END), '') || '\"')"
+_JOBS = _READY + f""", r AS (SELECT *, ntile(64) OVER (ORDER BY feed_row_id) AS chunk FROM u WHERE direct IS NOT NULL AND latest IS NOT NULL),
+t AS (SELECT chunk, feed_row_id, '{{"base":' || {_ASCII.format("base")} || ',"direct_download":' || {_ASCII.format("direct")} || ',"latest":' || {_ASCII.format("replace(latest, 'https://archive.example/', '')")} || CASE WHEN coalesce(auth, 0) <> 0 OR coalesce(key, '') <> '' THEN ',"api_key_parameter_name":' || coalesce({_ASCII.format("key")}, 'null') ELSE '' END || '}}' AS x FROM r),
+j AS (SELECT chunk, string_agg(x, '' ORDER BY feed_row_id DESC) AS s FROM t GROUP BY chunk),
+d AS (SELECT CAST(chunk AS INTEGER) AS chunk, sha1(s) AS hash, replace(s, '}}{{', '}} {{') AS data FROM j)
+"""
+
 
+def _url_rows(spark, sf_dir):
+    base = F.concat(F.lit("feed-"), "feed_row_id", F.lit("-"), F.coalesce("provider", F.lit("")))
+    return schedule(spark, sf_dir).select("feed_row_id", "status", base.alias("base"), F.col("urls.direct_download").alias("direct"), F.col("urls.latest").alias("latest"), F.col("urls.api_key_parameter_name").alias("key"), F.col("urls.authentication_type").alias("auth"))
 
-@query(_READY + """, r AS (SELECT *, ntile(64) OVER (ORDER BY feed_row_id) AS chunk FROM u WHERE direct IS NOT NULL AND latest IS NOT NULL),
-t AS (SELECT chunk, feed_row_id, '{"base":' || to_json(base) || ',"direct_download":' || to_json(direct) || ',"latest":' || to_json(replace(latest, 'https://archive.example/', '')) || CASE WHEN key IS NOT NULL THEN ',"api_key_parameter_name":' || to_json(key) ELSE '' END || '}' AS x FROM r),
-j AS (SELECT chunk, string_agg(x, '' ORDER BY feed_row_id DESC) AS s FROM t GROUP BY chunk)
-SELECT CAST(chunk AS INTEGER) AS chunk, sha1(s) AS hash, replace(s, '}{', '} {') AS data FROM j""")
+
+@query(_JOBS + " SELECT * FROM d")
 def url_matrix(spark, sf_dir):
-    rows = schedule(spark, sf_dir).select("feed_row_id", "status", F.concat(F.lit("feed-"), "feed_row_id").alias("base"), F.col("urls.direct_download").alias("direct"), F.col("urls.latest").alias("latest"), F.col("urls.api_key_parameter_name").alias("key"))
-    ready, _ = matrix.split_ready(rows, F.col("direct"), F.col("latest"), F.col("status"))
-    text = matrix.compact_json({"base": F.col("base"), "direct_download": F.col("direct"), "latest": matrix.latest_path(F.col("latest"), "https://archive.example/"), "api_key_parameter_name": F.col("key")})
-    return matrix.jobs(ready, ["feed_row_id"], text)
+    ready, _ = matrix.split_ready(_url_rows(spark, sf_dir), F.col("direct"), F.col("latest"), F.col("status"))
+    fields = {"base": F.col("base"), "direct_download": F.col("direct"), "latest": matrix.latest_path(F.col("latest"), "https://archive.example/"), "api_key_parameter_name": F.col("key")}
+    return matrix.jobs(ready, ["feed_row_id"], matrix.compact_json(fields, {"api_key_parameter_name": matrix.key_present(F.col("auth"), F.col("key"))}))
 
 
-@query()
+@query(_JOBS + """ SELECT '{"include":[' || string_agg('{"hash":"' || hash || '","data":' || to_json(data) || '}', ',' ORDER BY chunk) || ']}' AS matrix FROM d""")
 def url_matrix_json(spark, sf_dir):
     return matrix.matrix_json(url_matrix(spark, sf_dir))
 
 
 @query(_READY + """ SELECT feed_row_id, CASE WHEN direct IS NULL OR latest IS NULL THEN base || ': FAILURE! Direct download URL is ' || coalesce(direct, 'None') || ' and latest URL is ' || coalesce(latest, 'None') || '. Both URLS must be defined to update the source latest URL.' ELSE base || ': SUCCESS! Both direct download and latest URLs were fetched.' END AS line FROM u""")
 def url_log(spark, sf_dir):
-    rows = schedule(spark, sf_dir).select("feed_row_id", "status", F.concat(F.lit("feed-"), "feed_row_id").alias("base"), F.col("urls.direct_download").alias("direct"), F.col("urls.latest").alias("latest"))
-    _, looked = matrix.split_ready(rows, F.col("direct"), F.col("latest"), F.col("status"))
+    _, looked = matrix.split_ready(_url_rows(spark, sf_dir), F.col("direct"), F.col("latest"), F.col("status"))
     return looked.select("feed_row_id", matrix.log_line(F.col("base"), F.col("direct"), F.col("latest")).alias("line"))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import predicates as pr
 from ..functions import text as tx
 from ..operators import quality
-from ..schema import REPORT
+from ..schema import BOX_CORNERS, REPORT, SCHEDULE
+from ..session import cut
 from ..sources import gtfs
 
 # The members whose rows decide a feature. Some differ from the standard's names, as the catalog's own scripts do.
@@ -21,11 +22,11 @@ def _per_dataset(datasets: DataFrame, facts: list[DataFrame]) -> DataFrame:
     return datasets
 
 
-def _quantified(spark: SparkSession, folder: str, member: str, tests: dict[str, tuple[str, bool]]) -> DataFrame:
+def _quantified(members: DataFrame, member: str, tests: dict[str, tuple[str, bool]]) -> DataFrame:
     """(dataset_id, the tests): whether a column of the member is all there (or, if the flag is set, all missing); false where
     the member lacks the column, true for no rows."""
     columns = sorted({c for c, _ in tests.values()})
-    rows = gtfs.read_member(spark, folder, member, {c: "string" for c in columns})
+    rows = gtfs.member_of(members, member, {c: "string" for c in columns})
     data = F.col("line_no") > 0
     out = []
     for name, (c, missing) in tests.items():
@@ -47,15 +48,17 @@ def dataset_facts(spark: SparkSession, folder: str, reports: DataFrame | None =
     """
     manifest = gtfs.read_manifest(spark, folder)
     datasets = manifest.select("dataset_id").distinct()
-    routes = _quantified(spark, folder, "routes.txt", {"all_short_names": ("route_short_name", False), "no_long_names": ("route_long_name", True)})
-    info = _quantified(spark, folder, "feed_info.txt", {"no_contact_url": ("feed_contact_url", True), "all_contact_emails": ("feed_contact_email", False), "no_contact_email": ("feed_contact_email", True), "all_contact_urls": ("feed_contact_url", False)})
-    trips = gtfs.read_member(spark, folder, "trips.txt", {"trip_id": "string", "shape_id": "string"})
-    frequencies = gtfs.read_member(spark, folder, "frequencies.txt", {"trip_id": "string"})
+    # each zip is opened once
+    members = cut(gtfs.read_members(spark, folder, ["routes.txt", "feed_info.txt", "trips.txt", "frequencies.txt", "stop_times.txt", "shapes.txt"]))
+    routes = _quantified(members, "routes.txt", {"all_short_names": ("route_short_name", False), "no_long_names": ("route_long_name", True)})
+    info = _quantified(members, "feed_info.txt", {"no_contact_url": ("feed_contact_url", True), "all_contact_emails": ("feed_contact_email", False), "no_contact_email": ("feed_contact_email", True), "all_contact_urls": ("feed_contact_url", False)})
+    trips = gtfs.member_of(members, "trips.txt", {"trip_id": "string", "shape_id": "string"})
+    frequencies = gtfs.member_of(members, "frequencies.txt", {"trip_id": "string"})
     both = gtfs.with_columns(trips, ["block_id", "trip_id"]).filter("has_columns").join(gtfs.with_columns(frequencies, ["trip_id"]).filter("has_columns").select("dataset_id"), "dataset_id").select("dataset_id")
     within = quality.all_within(gtfs.data_rows(trips), "trip_id", gtfs.data_rows(frequencies), "trip_id", "dataset_id")
     blocks = both.join(within, "dataset_id", "left").select("dataset_id", F.coalesce("all_in", F.lit(True)).alias("blocks_in_frequencies"))
-    stops = gtfs.read_member(spark, folder, "stop_times.txt", {"trip_id": "string", "shape_dist_traveled": "double"})
-    shapes = gtfs.read_member(spark, folder, "shapes.txt", {"shape_id": "string", "shape_dist_traveled": "double"})
+    stops = gtfs.member_of(members, "stop_times.txt", {"trip_id": "string", "shape_dist_traveled": "double"})
+    shapes = gtfs.member_of(members, "shapes.txt", {"shape_id": "string", "shape_dist_traveled": "double"})
     beyond = exceeded(trips, stops, shapes).groupBy("dataset_id").agg((F.count(F.lit(1)) > 0).alias("exceeded"))
     folders = gtfs.sub_directories(manifest).select("dataset_id", F.lit(True).alias("has_folders"))
     facts = _per_dataset(datasets, [routes, info, blocks, beyond, folders])
@@ -81,9 +84,9 @@ def results(verdicts: DataFrame, n_rules: int) -> tuple[DataFrame, DataFrame]:
     return packed, quality.filled_counts(packed, rules)
 
 
-def _enough_lines(spark: SparkSession, folder: str, member: str, n: int, name: str) -> DataFrame:
+def _enough_lines(members: DataFrame, member: str, n: int, name: str) -> DataFrame:
     """Counts physical lines, as the header counts too."""
-    rows = gtfs.read_member(spark, folder, member, {})
+    rows = gtfs.member_of(members, member, {})
     return rows.groupBy("dataset_id").agg((F.count(F.lit(1)) >= n).alias(name))
 
 
@@ -92,10 +95,11 @@ def refresh(spark: SparkSession, folder: str, now: str) -> DataFrame:
     no service date is within 26 weeks before ``now``, else null, which keeps what was there."""
     manifest = gtfs.read_manifest(spark, folder)
     datasets = manifest.select("dataset_id").distinct()
-    counts = [_enough_lines(spark, folder, FEATURE_MEMBERS[k], 4 if k == "bookings" else 2, k.replace("-", "_")) for k in ("pathways", "fares-v1", "fares-v2", "groups", "shapes", "bookings")]
-    times = gtfs.data_rows(gtfs.read_member(spark, folder, "stop_times.txt", {"start_service_area_id": "string", "start_service_area_radius": "string"}))
+    members = cut(gtfs.read_members(spark, folder, [*FEATURE_MEMBERS.values(), "stop_times.txt", "calendar.txt"]))
+    counts = [_enough_lines(members, FEATURE_MEMBERS[k], 4 if k == "bookings" else 2, k.replace("-", "_")) for k in ("pathways", "fares-v1", "fares-v2", "groups", "shapes", "bookings")]
+    times = gtfs.data_rows(gtfs.member_of(members, "stop_times.txt", {"start_service_area_id": "string", "start_service_area_radius": "string"}))
     flex = times.groupBy("dataset_id").agg(pr.any_defined(F.col("start_service_area_id"), F.col("start_service_area_radius")).alias("flexible"))
-    calendar = gtfs.data_rows(gtfs.read_member(spark, folder, "calendar.txt", {"end_date": "string"}))
+    calendar = gtfs.data_rows(gtfs.member_of(members, "calendar.txt", {"end_date": "string"}))
     recent = calendar.groupBy("dataset_id").agg(tx.recent(F.col("end_date"), F.lit(now).cast("timestamp")).alias("recent"))
     facts = gtfs.members_there(_per_dataset(datasets, [*counts, flex, recent]), manifest, FEATURE_MEMBERS["areas"], "has_areas")
     yes = lambda c: pr.sure(F.col(c))
@@ -108,3 +112,41 @@ def bounding_boxes(spark: SparkSession, folder: str) -> DataFrame:
     stops = gtfs.read_member(spark, folder, "stops.txt", {"stop_lat": "double", "stop_lon": "double"})
     boxes = quality.bounding_boxes(gtfs.data_rows(stops), ["dataset_id"], F.col("stop_lat"), F.col("stop_lon"))
     return gtfs.read_manifest(spark, folder).select("dataset_id").distinct().join(boxes, "dataset_id", "left")
+
+
+def built(rows: DataFrame, boxes: DataFrame, now: str, url_template: str) -> DataFrame:
+    """(the columns of a schedule row, file_name) of new sources built from their datasets.
+
+    ``rows``: ``dataset_id`` and any of the catalog's fields, flat (``provider``, ``country_code``, ``direct_download`` and so on).
+    ``boxes``: (dataset_id, four corners) of the datasets that can be read, as from ``bounding_boxes``; rows of others are left out.
+    A missing subdivision is ``unknown`` in the file's name; redirects without a usable id are left out.
+    """
+    known = rows.join(boxes, "dataset_id")
+    have = set(rows.columns)
+    field = lambda n, t="string": (F.col(n) if n in have else F.lit(None)).cast(t)
+    name = lambda extension: tx.filename(field("country_code"), F.coalesce(field("subdivision_name"), F.lit("unknown")), field("provider"), F.lit("gtfs"), field("mdb_source_id"), extension)
+    box = F.struct(*[F.col(c) for c in BOX_CORNERS], F.lit(now).alias("extracted_on"))
+    values = {
+        "data_type": F.lit("gtfs"),
+        "location": F.struct(*[field(c).alias(c) for c in ("country_code", "subdivision_name", "municipality")], box.alias("bounding_box")),
+        "urls": F.struct(*[(tx.latest_url(name("zip"), url_template) if f.name == "latest" else field(f.name, f.dataType)).alias(f.name) for f in SCHEDULE["urls"].dataType.fields]),
+        "redirect": pr.usable_redirects(field("redirect", SCHEDULE["redirect"].dataType)),
+    }
+    return known.select(*[values.get(f.name, field(f.name, f.dataType)).cast(f.dataType).alias(f.name) for f in SCHEDULE.fields], name("json").alias("file_name"))
+
+
+def update_patch(rows: DataFrame, boxes: DataFrame, now: str) -> DataFrame:
+    """(schedule columns) as a patch for ``Sources.updated``: as ``built``, but a new ``direct_download`` counts only where its
+    dataset can be read, and brings its box then; all else that is null keeps what was there. Redirects are made text and those
+    without an id left out."""
+    have = set(rows.columns)
+    field = lambda n, t="string": (F.col(n) if n in have else F.lit(None)).cast(t)
+    joined = rows.join(boxes.withColumn("__readable", F.lit(True)), "dataset_id", "left")
+    new = F.col("__readable") & field("direct_download").isNotNull()
+    box = F.when(new, F.struct(*[F.col(c) for c in BOX_CORNERS], F.lit(now).alias("extracted_on")))
+    values = {
+        "location": F.struct(*[field(c).alias(c) for c in ("country_code", "subdivision_name", "municipality")], box.alias("bounding_box")),
+        "urls": F.struct(*[(F.when(new, field(f.name)) if f.name == "direct_download" else field(f.name, f.dataType)).cast(f.dataType).alias(f.name) for f in SCHEDULE["urls"].dataType.fields]),
+        "redirect": pr.usable_redirects(field("redirect", SCHEDULE["redirect"].dataType)),
+    }
+    return joined.select(*[values.get(f.name, field(f.name, f.dataType)).cast(f.dataType).alias(f.name) for f in SCHEDULE.fields])
