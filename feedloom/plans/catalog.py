@@ -16,9 +16,10 @@ from ..functions import text as tx
 from ..operators import commands, export, lookup, matrix, merge, ordered, quality
 from ..operators.csvrows import parse_lines
 from ..session import table
-from ..sources.catalog import last_of_each, row_range
+from ..sources.catalog import last_of_each, naive_cells, row_range
 from ..sources.form import FORM_FIELDS, load_form
 from .api import Sources
+from .problems import PARSED_FORM
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -562,7 +563,26 @@ def export_flatten(spark, sf_dir):
     return rows.select(*[shapes.quoted(a).alias(b) for a, b in names.items()])
 
 
-@query()
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_STRIP = "trim({0}, " + _BLANKS + ")"
+_PIPED = "CASE WHEN len({0}) > 0 THEN array_to_string({0}, '|') WHEN len({0}) = 0 THEN '[]' END"
+_PLACED = "CASE WHEN r.mdb_source_id IS NULL THEN s.location WHEN coalesce(len(r.static_reference), 0) = 0 THEN {'country_code': 'unknown', 'subdivision_name': 'unknown', 'municipality': 'unknown', 'bounding_box': NULL} ELSE f.location END"
+
+
+def _export_sql() -> str:
+    own = lambda c: f"CASE WHEN r.mdb_source_id IS NULL THEN s.{c} ELSE r.{c} END"
+    live = lambda c: f"r.{c}"
+    texts = {c: _STRIP.format(own(c)) for c in ("data_type", "provider", "is_official", "is_producer_url_unstable", "name", "feed_contact_email", "status")}
+    columns = {"mdb_source_id": _STRIP.format("coalesce(r.mdb_source_id, s.mdb_source_id)"), **texts, "note": _STRIP.format(live("note"))}
+    columns |= {"entity_type": _STRIP.format(_PIPED.format(live("entity_type"))), "static_reference": _STRIP.format(_PIPED.format(live("static_reference"))), "features": _STRIP.format(_PIPED.format(f"({own('features')})"))}
+    columns |= {f"urls.{c}": f"({own('urls')}).{c}" for c in ("direct_download", "authentication_type", "authentication_info", "api_key_parameter_name", "latest", "license")}
+    columns |= {f"location.{c}": f"({_PLACED}).{c}" for c in ("country_code", "subdivision_name", "municipality")}
+    columns |= {f"location.bounding_box.{c}": f"({_PLACED}).bounding_box.{c}" for c in ("minimum_latitude", "maximum_latitude", "minimum_longitude", "maximum_longitude", "extracted_on")}
+    columns |= {f"redirect.{c}": f"coalesce(array_to_string(list_transform({own('redirect')}, lambda x: coalesce(x.{c}, '')), '|'), '')" for c in ("id", "comment")}
+    return _LATEST + "SELECT " + ", ".join(f'{v} AS "{k}"' for k, v in columns.items()) + " FROM s FULL JOIN r ON s.mdb_source_id = r.mdb_source_id LEFT JOIN s f ON trim(r.static_reference[1]) = f.mdb_source_id"
+
+
+@query(_export_sql())
 def export_all(spark, sf_dir):
     s, both = _catalog(spark, sf_dir)
     return export.export_rows(both, s)
@@ -572,20 +592,74 @@ def _form(spark, sf_dir):
     return load_form(ordered.ranged(table(spark, sf_dir, "form_lines").select("line_id", "line"), ["line_id"]))[0]
 
 
-@query()
+def _form_sql() -> str:
+    """Common tables up to ``p``, the prepared rows."""
+    cell = lambda n: f"fields[{FORM_FIELDS.index(n) + 1}]"
+    strip = lambda n: _STRIP.format(cell(n))
+    address = lambda n: f"CASE WHEN {strip(n)} <> '' AND NOT regexp_matches({strip(n)}, '{pr.WEB_ADDRESS}') THEN '\"\"' ELSE {strip(n)} END"
+    number = lambda x: f"coalesce(TRY_CAST(trim({x}) AS INTEGER), 0)"
+    holds = lambda text, words: " OR ".join(f"contains({text}, '{w}')" for w in words)
+    chosen = lambda text, options, other: "CASE " + " ".join(f"WHEN {holds(text, ws)} THEN '{v}'" for v, ws in options) + f" ELSE '{other}' END"
+    day = f"regexp_extract({strip('timestamp')}, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}|[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')"
+    ids = f"replace({cell('redirects')}, '\"', '')"
+    kinds = [(code, (w,)) for w, code in tx.DATA_TYPE_WORDS]
+    columns = {
+        "known": f"last_value(nullif({strip('provider')}, '') IGNORE NULLS) OVER (ORDER BY line_id ROWS UNBOUNDED PRECEDING)",
+        "typed": strip("provider"),
+        "issue": chosen(f"lower({strip('issue_type')})", tx.ISSUE_WORDS, "unknown"),
+        "kind": chosen(rf"regexp_replace(lower({cell('datatype')}), '\s+', '', 'g')", kinds, tx.UNKNOWN_TYPE),
+        "day": f"coalesce(strftime(coalesce(try_strptime({day}, '%m/%d/%Y'), try_strptime({day}, '%Y-%m-%d')), '%m/%d/%Y'), '01/01/1970')",
+        "direct_download_url": address("downloadurl"),
+        "license_url": address("license_url"),
+        "mdb_source_id": number(f"trim({cell('old_id')}, '\"')"),
+        "authentication_type": number(strip("auth_type")),
+        "authentication_info_url": strip("auth_info_url"),
+        "api_key_parameter_name": strip("api_key_name"),
+        "country_code": strip("country"),
+        "subdivision_name": strip("subdivision"),
+        "feed_contact_email": strip("email"),
+        "ids": f"CASE WHEN {cell('redirects')} = '' THEN NULL WHEN length({ids}) < 3 THEN [] ELSE string_split({ids}, ' ') END",
+        **{n: strip(n) for n in ("municipality", "name", "note", "status")},
+    }
+    raw = f"{PARSED_FORM}, q AS (SELECT line_id, {', '.join(f'{v} AS {k}' for k, v in columns.items())} FROM judged WHERE reason IS NULL)"
+    asked = commands.TO_BE_PROVIDED
+    return raw + f", p AS (SELECT * EXCLUDE (known, typed), CASE WHEN typed = '' THEN '{asked} (' || coalesce(known, '{asked}') || ' ?)' ELSE typed END AS provider FROM q)"
+
+
+def _commands_sql() -> str:
+    named = f"CASE WHEN issue = 'removed' THEN '{commands.REMOVAL_NAME}' ELSE name END"
+
+    def shown(argument: str) -> str:
+        name = argument.rstrip("*")
+        value = {"entity_type": "'[\"' || kind || '\"]'", "name": named}.get(name, f"CAST({name} AS VARCHAR)")
+        text = f"'{name}=' || {value}" if argument.endswith("*") else f"'{name}=\"' || {value} || '\"'"
+        return f"CASE WHEN {value} NOT IN ('', '\"\"') THEN {text} END" if name in commands.OPTIONAL else text
+
+    redirects = "'redirects=[' || array_to_string(list_transform(ids, lambda x: '{\"id\": \"' || x || '\", \"comment\": \" \"}'), ', ') || ']'"
+
+    def call(verb: str, kind: str) -> str:
+        arguments = [*map(shown, commands.CALLS[verb, kind]), *([redirects] if kind == "schedule" else [])]
+        return f"'{verb}_gtfs_{kind}_source(' || concat_ws(', ', {', '.join(arguments)}) || ')'"
+
+    either = lambda kind: f"CASE WHEN issue IN ('Feed update', 'removed') THEN {call('update', kind)} ELSE {call('add', kind)} END"
+    return _form_sql() + f" SELECT line_id, replace(replace(CASE WHEN kind = 'Schedule' THEN {either('schedule')} ELSE {either('realtime')} END, chr(39), 'ʼ'), chr(10), '') AS command FROM p WHERE kind <> '{tx.UNKNOWN_TYPE}'"
+
+
+@query(_commands_sql())
 def form_commands(spark, sf_dir):
     return commands.call_text(commands.prepared(_form(spark, sf_dir), "line_id"), "line_id")
 
 
-@query()
+@query(_form_sql() + " SELECT * EXCLUDE (ids) FROM p")
 def form_prepared(spark, sf_dir):
     return commands.prepared(_form(spark, sf_dir), "line_id").drop("redirect")
 
 
-@query("SELECT batch_no, count(*) AS n, count(*) FILTER (len(string_split(line, ',')) >= 19) AS wide FROM form_lines GROUP BY batch_no")
+@query("SELECT line_id, array_to_string(string_split(line, ',')[1:19], '|') AS cells FROM form_lines WHERE len(string_split(line, ',')) >= 19")
 def naive_split(spark, sf_dir):
-    wide = F.count_if(F.size(F.split("line", ",")) >= len(FORM_FIELDS))
-    return table(spark, sf_dir, "form_lines").groupBy("batch_no").agg(F.count(F.lit(1)).alias("n"), wide.alias("wide"))
+    """The cells of the lines that are wide enough; the others are an error to the naive reader."""
+    wide = table(spark, sf_dir, "form_lines").filter(F.size(F.split("line", ",")) >= len(FORM_FIELDS))
+    return wide.select("line_id", F.array_join(F.slice(naive_cells(F.col("line"), len(FORM_FIELDS)), 1, len(FORM_FIELDS)), "|").alias("cells"))
 
 
 @query("SELECT line_id, line FROM form_lines WHERE line_id BETWEEN 3 AND 10")
@@ -593,10 +667,11 @@ def rows_in_range(spark, sf_dir):
     return row_range(table(spark, sf_dir, "form_lines"), "3:10", "line_id").select("line_id", "line")
 
 
-@query("SELECT count(*) AS n_lines, sum(len(string_split(line, ','))) >= count(*) AS split FROM form_lines")
+@query(f"{PARSED_FORM} SELECT line_id, sound, CASE WHEN sound THEN len(fields) END AS n_fields, CASE WHEN sound THEN array_to_string(fields, '|') END AS cells FROM judged")
 def parsed_widths(spark, sf_dir):
+    """Of each line whether it is well-formed and, if so, its fields."""
     parsed = parse_lines(table(spark, sf_dir, "form_lines").select("line_id", "line"))
-    return parsed.agg(F.count(F.lit(1)).alias("n_lines"), (F.sum(F.size("fields")) >= F.count(F.lit(1))).alias("split"))
+    return parsed.select("line_id", "sound", F.when(F.col("sound"), F.size("fields")).alias("n_fields"), F.when(F.col("sound"), F.array_join("fields", "|")).alias("cells"))
 
 
 def queries() -> dict:

@@ -211,7 +211,7 @@ w(id, cur, path, looped) AS (
 ), ends AS (SELECT w.* FROM w LEFT JOIN e ON w.cur = e.id WHERE w.looped OR e.id IS NULL)
 """
 
-_P6 = r"""
+PARSED_FORM = r"""
 WITH l AS (
   SELECT line_id, line, coalesce(regexp_full_match(line, '(?:"(?:[^"]|"")*"|[^",\r\n]*)(?:,(?:"(?:[^"]|"")*"|[^",\r\n]*))*'), true) AS sound,
     regexp_extract_all(',' || coalesce(line, ''), ',("(?:[^"]|"")*"|[^",\r\n]*)', 1) AS raw
@@ -244,6 +244,6 @@ def oracle_sql() -> dict[str, str]:
         "p5_paths": f"{_WALK} SELECT id AS mdb_source_id, array_to_string(path, '>') AS path, cur AS root_id, CAST(len(path) - 1 AS INTEGER) AS depth FROM ends WHERE NOT looped",
         "p5_descendants": f"{_WALK} SELECT path[n] AS ancestor, id AS descendant, CAST(n - 1 AS INTEGER) AS steps FROM (SELECT id, path, unnest(range(2, len(path) + 1)) AS n FROM ends WHERE NOT looped)",
         "p5_loops": f"{_WALK} SELECT id AS mdb_source_id, list_min(path) AS loop_id, CAST(len(path) - 1 AS BIGINT) AS loop_size FROM ends WHERE looped AND cur = id",
-        "p6_found": f"{_P6} SELECT line_id, reason FROM judged WHERE reason IS NOT NULL",
-        "p6_good": f"{_P6} SELECT line_id, {day} AS day, {', '.join(f'nullif(fields[{i}], {chr(39) * 2}) AS {c}' for i, c in text)}, TRY_CAST(trim(fields[{auth}]) AS INTEGER) AS auth_type FROM judged WHERE reason IS NULL",
+        "p6_found": f"{PARSED_FORM} SELECT line_id, reason FROM judged WHERE reason IS NOT NULL",
+        "p6_good": f"{PARSED_FORM} SELECT line_id, {day} AS day, {', '.join(f'nullif(fields[{i}], {chr(39) * 2}) AS {c}' for i, c in text)}, TRY_CAST(trim(fields[{auth}]) AS INTEGER) AS auth_type FROM judged WHERE reason IS NULL",
     }

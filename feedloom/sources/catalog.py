@@ -78,10 +78,14 @@ def read_csv_lines(spark: SparkSession, path: str, columns: list[str], naive: bo
     if not naive:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         return numbered_lines(spark.read.schema(schema).option("multiLine", True).option("escape", '"').csv(path))
-    cells = F.split("value", ",")
-    checked = F.when(F.size(cells) >= len(columns), cells).otherwise(F.raise_error(F.concat(F.lit("too few columns: "), F.size(cells).cast("string"))))
     lines = numbered_lines(spark.read.text(path))
-    return lines.select("file_name", "row_no", checked.alias("c")).select(*[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(columns)], "file_name", "row_no")
+    return lines.select("file_name", "row_no", naive_cells(F.col("value"), len(columns)).alias("c")).select(*[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(columns)], "file_name", "row_no")
+
+
+def naive_cells(line: Column, width: int) -> Column:
+    """Split at every comma; an error for fewer cells than ``width``."""
+    cells = F.split(line, ",")
+    return F.when(F.size(cells) >= width, cells).otherwise(F.raise_error(F.concat(F.lit("too few columns: "), F.size(cells).cast("string"))))
 
 
 def numbered_lines(rows: DataFrame) -> DataFrame:
