@@ -426,12 +426,6 @@ def rule_counts(spark, sf_dir):
     return quality.filled_counts(wide.select(*[F.when(F.col(r), 1).alias(r) for r in ("rule_1", "rule_5", "rule_12")]), ["rule_1", "rule_5", "rule_12"])
 
 
-@query("SELECT o_custkey, max(o_totalprice) > 450000 AS rule_1, bool_or(o_orderstatus = 'P') AS rule_2 FROM orders GROUP BY o_custkey")
-def bad_practice_rules(spark, sf_dir):
-    facts = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max("o_totalprice").alias("top"), F.bool_or(F.col("o_orderstatus") == "P").alias("part"))
-    return quality.verdicts(facts, "o_custkey", quality.bad_practices(F.col("top") > 450000, F.col("part")))
-
-
 @query("SELECT mdb_source_id, count(*) AS n FROM schedule_feeds WHERE mdb_source_id IS NOT NULL GROUP BY mdb_source_id HAVING count(*) > 1")
 def uniqueness(spark, sf_dir):
     return quality.repeated(schedule(spark, sf_dir), "mdb_source_id")

@@ -34,12 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder and drop its lineage.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a session without it (tests) gets a folder
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a local session without it (tests) gets a folder
     of its own.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "feedloom-checkpoints"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.split("[")[0] == "local":
+            raise ValueError("a cluster must name a shared folder in spark.checkpoint.dir")
+        sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "feedloom-checkpoints"))
     return df.checkpoint(eager=True)
 
 

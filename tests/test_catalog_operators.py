@@ -1,3 +1,5 @@
+import hashlib
+import json
 import math
 
 import pytest
@@ -194,3 +196,14 @@ def test_commands(spark):
     assert 'name=""**** issued for removal ****""' in got[3] and "Itʼs" in got[3]
     assert 4 not in got and 'direct_download_url=""""' in got[5]
     assert commands.script(calls, "line_id").first()[0].count("§") == 3
+
+
+def test_job_objects_are_as_a_json_writer_in_ascii_gives_them(spark):
+    rows = [(1, "é \\ \"q\" /", 0, None), (2, "𝄞\t\x01\x7f", 1, None), (3, "plain", None, ""), (4, "日本\r\n", 2, "k")]
+    df = spark.createDataFrame(rows, "n int, base string, auth int, key string")
+    text = matrix.compact_json({"base": F.col("base"), "key": F.col("key")}, {"key": matrix.key_present(F.col("auth"), F.col("key"))})
+    want = [json.dumps({"base": b} | ({"key": k} if a or k else {}), separators=(",", ":")) for _, b, a, k in rows]
+    assert [r[0] for r in df.orderBy("n").select(text).collect()] == want
+    joined = "".join(reversed(want))
+    job = matrix.jobs(df, ["n"], text, 1).first()
+    assert job["hash"] == hashlib.sha1(joined.encode()).hexdigest() and job["data"] == joined.replace("}{", "} {")

@@ -83,3 +83,16 @@ def test_refresh_and_boxes(spark, zips):
     got = {r["dataset_id"]: (r["features"], r["status"]) for r in datasets.refresh(spark, zips, "2024-06-01").collect()}
     assert got == {"a": (["pathways", "flex-v1"], None), "b": (["flex-v2"], "inactive")}
     assert {tuple(r) for r in datasets.bounding_boxes(spark, zips).collect()} == {("a", 1.0, 3.0, 2.0, 4.0), ("b", None, None, None, None)}
+
+
+def test_sources_are_built_and_updated_from_datasets(spark, zips):
+    boxes = datasets.bounding_boxes(spark, zips)
+    rows = spark.createDataFrame([("a", "7", "Pró, X", "XA", None, "d7", [(3, None), (None, "x")]), ("gone", "8", "Q", "XA", "S", "d8", None)], "dataset_id string, mdb_source_id string, provider string, country_code string, subdivision_name string, direct_download string, redirect array<struct<id:int,comment:string>>")
+    got = datasets.built(rows, boxes, "2024-06-01", "https://h.example/{filename}").collect()
+    assert len(got) == 1 and got[0]["file_name"] == "xa-unknown-pro-gtfs-7.json" and got[0]["urls"]["latest"] == "https://h.example/xa-unknown-pro-gtfs-7.zip"
+    assert tuple(got[0]["location"]["bounding_box"]) == (1.0, 3.0, 2.0, 4.0, "2024-06-01") and [tuple(x) for x in got[0]["redirect"]] == [("3", None)]
+    base = Sources(spark.createDataFrame([feed("1"), feed("2")], SCHEDULE), spark.createDataFrame([], REALTIME))
+    patch = spark.createDataFrame([("a", "1", None, "new", "True"), ("gone", "2", "Other", "lost", None)], "dataset_id string, mdb_source_id string, provider string, direct_download string, is_official string")
+    after = {r["mdb_source_id"]: r for r in base.updated(datasets.update_patch(patch, boxes, "2024-07-01"), "gtfs").schedule.collect()}
+    assert after["1"]["urls"]["direct_download"] == "new" and tuple(after["1"]["location"]["bounding_box"]) == (1.0, 3.0, 2.0, 4.0, "2024-07-01") and after["1"]["provider"] == "P1" and after["1"]["is_official"] == "True"
+    assert after["2"]["urls"]["direct_download"] == "https://h.example/d" and after["2"]["location"]["bounding_box"]["extracted_on"] == "t" and after["2"]["provider"] == "Other"
