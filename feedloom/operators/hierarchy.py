@@ -16,6 +16,10 @@ from ..session import cut
 from .skew import hot_keys, salted_lookup
 
 
+#: Finished nodes for each unfinished one from which the pointed-to are picked out before the join.
+FEW = 4
+
+
 def links(df: DataFrame, node: str, parent: str) -> DataFrame:
     """(id, parent), both as text, of the rows with both; a node that occurs more than once keeps its least parent."""
     pairs = df.select(F.col(node).cast("string").alias("id"), F.col(parent).cast("string").alias("parent"))
@@ -48,14 +52,16 @@ def _doubled(first: DataFrame, advance: Callable[[DataFrame], DataFrame]) -> Dat
     """The state (id, ptr, ..., done) after as many rounds as it takes, or after one in which nothing was done.
 
     Each round looks up what the unfinished nodes point to and ``advance``s them; only their new state is written. The states of
-    the finished stay where they were written, and only those that are pointed to come to the join.
+    the finished stay where they were written; once they are many beside the unfinished, only those that are pointed to come to the
+    join.
     """
     active, finished = first, None
-    rows = first.count()
+    rows, finished_rows = first.count(), 0
     while rows:
         known = active if finished is None else active.unionByName(finished)
-        wanted = active.select(F.col("ptr").alias("w")).distinct()
-        known = known.join(wanted, known["id"] == wanted["w"], "left_semi")
+        if finished_rows > FEW * rows:
+            wanted = active.select(F.col("ptr").alias("w")).distinct()
+            known = known.join(wanted, known["id"] == wanted["w"], "left_semi")
         known = known.select(F.col("id").alias("k"), *[F.col(c).alias(f"k_{c}") for c in known.columns if c != "id"])
         step = cut(advance(salted_lookup(active, known, "ptr", "k", "id", hot_keys(active, "ptr", rows))))
         done = step.filter("done")
@@ -64,7 +70,7 @@ def _doubled(first: DataFrame, advance: Callable[[DataFrame], DataFrame]) -> Dat
         left = active.count()
         if left == rows:
             break
-        rows = left
+        rows, finished_rows = left, finished_rows + rows - left
     return active if finished is None else active.unionByName(finished)
 
 
